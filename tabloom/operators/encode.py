@@ -23,22 +23,19 @@ from pyspark.mllib.util import MLUtils
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.operators.ranking import running_totals
-
 INDEX_SUFFIX = "_index"
 
 
-def fit_index(df: DataFrame, columns: Sequence[str], max_labels: int = 100_000):
+def fit_index(df: DataFrame, columns: Sequence[str], max_labels: int = 1_000_000):
     """(model, indexed frame): categories numbered by falling frequency, ties by name.
 
-    Unseen and missing values share one extra index. The label list lives on the driver, so
-    columns with more than ``max_labels`` categories are refused; ``frequency_index`` numbers
-    those without collecting anything.
+    Unseen and missing values share one extra index. The fitted label list lives on the
+    driver, so a column with more than ``max_labels`` categories is refused.
     """
     sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
     wide = [c for c, n in sizes.items() if n > max_labels]
     if wide:
-        raise ValueError(f"too many categories for a label list, use frequency_index: {wide}")
+        raise ValueError(f"more than {max_labels} categories: {wide}")
     model = StringIndexer(
         inputCols=list(columns),
         outputCols=[f"{c}{INDEX_SUFFIX}" for c in columns],
@@ -47,24 +44,6 @@ def fit_index(df: DataFrame, columns: Sequence[str], max_labels: int = 100_000):
     return model, model.transform(df)
 
 
-def frequency_index(df: DataFrame, column: str) -> DataFrame:
-    """(label, n, index) for any number of categories: counted, then numbered in order."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("label")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    placed = running_totals(counts.withColumn("__h", F.xxhash64("label")), "n", ["__h"], position="__p")
-    # Ties in the count are ordered by name inside their count group.
-    start = placed.groupBy("n").agg(F.min("__p").alias("__first"))
-    from pyspark.sql import Window
-
-    within = F.row_number().over(Window.partitionBy("n").orderBy("label"))
-    return (
-        placed.join(start, "n")
-        .withColumn("index", (F.col("__first") + within - 2).cast("double"))
-        .select("label", "n", "index")
-    )
-
-
 def assembler(features: Sequence[str], out: str = "features", invalid: str = "error") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid=invalid)
 

@@ -85,9 +85,15 @@ def quantile_binner(
 
 
 def feature_names(df: DataFrame, vector: str) -> list[str]:
-    """Names of a vector column's slots, from its metadata."""
-    groups = df.schema[vector].metadata["ml_attr"]["attrs"].values()
-    return [a["name"] for a in sorted((a for g in groups for a in g), key=lambda a: a["idx"])]
+    """Names of a vector column's slots from its metadata, numbered where it has none."""
+    described = df.schema[vector].metadata.get("ml_attr", {})
+    attrs = [a for group in described.get("attrs", {}).values() for a in group]
+    if attrs:
+        return [a["name"] for a in sorted(attrs, key=lambda a: a["idx"])]
+    width = described.get("num_attrs")
+    if width is None:
+        width = df.select(F.size(vector_to_array(F.col(vector))).alias("n")).first().n
+    return [f"{vector}_{i}" for i in range(width)]
 
 
 def principal_components(df: DataFrame, features: Sequence[str], k: int):

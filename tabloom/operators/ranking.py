@@ -14,11 +14,11 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DecimalType, NumericType
 
 from tabloom.session import default_slices
 
-_SLICE, _SUB = "__slice", "__sub"
-_LEAD, _TIE = "__lead", "__tie"
+_SLICE, _LEAD = "__slice", "__lead"
 
 
 def _quantile_cuts(df: DataFrame, column: str, slices: int) -> list[float]:
@@ -29,48 +29,66 @@ def _quantile_cuts(df: DataFrame, column: str, slices: int) -> list[float]:
     return [v for v in (row.q or []) if v is not None and not math.isnan(v)]
 
 
-def _splits(cuts: Sequence[float]) -> tuple[list[float], list[float]]:
+def _edges(cuts: Sequence[float]) -> tuple[list[float], list[float]]:
     """Bucket edges from quantiles, and the values hot enough to repeat among them.
 
     A repeated quantile v becomes a bucket holding only v: edges at v and just above it.
+    Beyond 2^53 different whole numbers share a double, so those are not taken as points.
     """
     distinct = sorted(set(cuts))
-    hot = [v for v in distinct if cuts.count(v) > 1]
-    edges = set(distinct) | {math.nextafter(v, math.inf) for v in hot}
-    return [-math.inf, *sorted(edges - {-math.inf, math.inf}), math.inf], hot
+    hot = [v for v in distinct if cuts.count(v) > 1 and abs(v) < 2**53]
+    inner = set(distinct) | {math.nextafter(v, math.inf) for v in hot}
+    return [-math.inf, *sorted(inner - {-math.inf, math.inf}), math.inf], hot
 
 
-def _bucket(df: DataFrame, column: str, out: str, edges: list[float]) -> DataFrame:
-    if len(edges) < 3:
-        return df.withColumn(out, F.lit(0.0))
-    return Bucketizer(splits=edges, inputCol=column, outputCol=out, handleInvalid="keep").transform(df)
+def _rising(name: str, descending: bool) -> Column:
+    """A numeric column as a double that never falls along the order, nulls last.
+
+    NaN sorts as the largest number, so it comes first when descending.
+    """
+    value = F.col(name).cast("double")
+    return (
+        F.when(value.isNull(), math.inf)
+        .when(F.isnan(value), -math.inf if descending else math.inf)
+        .otherwise(-value if descending else value)
+    )
 
 
 def _sliced(
     df: DataFrame, value: str, keys: Sequence[str], descending: bool, slices: int
-) -> DataFrame:
-    """Adds a slice pair that rises with the requested order."""
-    # The leading sort value as a rising double. Nulls sort last and get the top edge; NaN
-    # sorts as the largest number, so first when descending.
-    lead = F.col(value).cast("double")
-    lead = (
-        F.when(lead.isNull(), math.inf)
-        .when(F.isnan(lead), -math.inf if descending else math.inf)
-        .otherwise(-lead if descending else lead)
-    )
-    work = df.withColumn(_LEAD, lead)
-    cuts = _quantile_cuts(work.select(_LEAD), _LEAD, slices)
-    edges, hot = _splits(cuts)
-    work = _bucket(work, _LEAD, _SLICE, edges)
-    if not (hot and keys):
-        return work.withColumn(_SUB, F.lit(0.0))
-    work = work.withColumn(_TIE, F.col(keys[0]).cast("double"))
-    in_hot = F.col(_LEAD).isin(*hot)
-    # A value repeated m times among the cuts fills m slices, so 2m tie slices are plenty.
-    tie_slices = 2 * max(cuts.count(v) for v in hot)
-    ties = _quantile_cuts(work.where(in_hot).select(_TIE), _TIE, tie_slices)
-    work = _bucket(work, _TIE, _SUB, _splits(ties)[0])
-    return work.withColumn(_SUB, F.when(in_hot, F.coalesce(_SUB, F.lit(-1.0))).otherwise(0.0))
+) -> tuple[DataFrame, list[str]]:
+    """Adds slice columns that rise, read left to right, with the requested order.
+
+    Missing values have a slice to themselves; the others are cut along ``value``. While
+    some point of the order so far repeats among the cuts, a further column cuts the rows at
+    such points along the next key.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    work = df.withColumn(f"{_SLICE}_null", F.col(value).isNull().cast("int"))
+    place, at_hot, wanted = [f"{_SLICE}_null"], F.lit(True), slices
+    for depth, name in enumerate([value, *keys]):
+        if not isinstance(types[name], NumericType):
+            break
+        lead, out = f"{_LEAD}{depth}", f"{_SLICE}{depth}"
+        work = work.withColumn(lead, _rising(name, descending and depth == 0))
+        cuts = _quantile_cuts(work.where(at_hot).select(lead), lead, wanted)
+        edges, hot = _edges(cuts)
+        if isinstance(types[name], DecimalType):
+            hot = []  # as doubles, different decimals can look equal
+        if len(edges) > 2:
+            cutter = Bucketizer(splits=edges, inputCol=lead, outputCol=out, handleInvalid="keep")
+            work = cutter.transform(work)
+        else:
+            work = work.withColumn(out, F.lit(0.0))
+        if depth:
+            work = work.withColumn(out, F.when(at_hot, F.col(out)).otherwise(0.0))
+        place.append(out)
+        if not hot:
+            break
+        at_hot = at_hot & F.col(lead).isin(*hot)
+        # A value repeated m times among the cuts fills m slices, so 2m are plenty for it.
+        wanted = 2 * max(cuts.count(v) for v in hot)
+    return work, place
 
 
 def running_totals(
@@ -88,25 +106,25 @@ def running_totals(
     """Rows with their 1-based place in the whole order and inclusive running sums.
 
     The order is ``value`` (numeric), then ``keys`` ascending; together they must identify a
-    row, and the first key must be numeric if values can repeat heavily. ``within`` runs one
-    order per group; it is meant for a few large groups, such as the data sets being compared.
+    row, and heavily repeated values can only be spread along numeric keys. ``within`` runs
+    one order per group; it is meant for a few large groups, such as compared data sets.
     ``overall`` adds ``<name>_all`` with the total of each sum over the whole order.
     """
-    if value not in df.columns:
-        raise ValueError(f"unknown order column {value!r}")
+    if not isinstance(df.schema[value].dataType, NumericType):
+        raise ValueError(f"order column {value!r} must be numeric, such as unix_micros of a time")
     totals = dict(sums or {})
     if position:
         totals[position] = F.lit(1).cast("bigint")
     slices = slices or default_slices(df.sparkSession)
     adds = {name: f"__add_{name}" for name in totals}
     work = df.withColumns({adds[n]: expr for n, expr in totals.items()})
-    work = _sliced(work, value, keys, descending, slices)
-    place = [*within, _SLICE, _SUB]
+    work, cuts = _sliced(work, value, keys, descending, slices)
+    place = [*within, *cuts]
 
     # One small row per slice: its totals, then the totals of everything before it.
     per_slice = work.groupBy(*place).agg(*[F.sum(adds[n]).alias(f"__sum_{n}") for n in totals])
     group = Window.partitionBy(*within)
-    before = group.orderBy(_SLICE, _SUB).rowsBetween(Window.unboundedPreceding, -1)
+    before = group.orderBy(*cuts).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_slice.select(
         *[F.col(c).alias(f"__at_{c}") for c in place],
         *[F.coalesce(F.sum(f"__sum_{n}").over(before), F.lit(0)).alias(f"__off_{n}") for n in totals],
@@ -117,7 +135,7 @@ def running_totals(
     lead = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     inside = (
         Window.partitionBy(*place)
-        .orderBy(lead, *[F.col(k).asc() for k in keys])
+        .orderBy(lead, *[F.col(k).asc_nulls_last() for k in keys])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = work.withColumns({f"__in_{n}": F.sum(adds[n]).over(inside) for n in totals})

@@ -19,12 +19,13 @@ FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice", "o_t
 
 
 def binary(spark, sf, keep=()):
-    return assemble(modelling(spark, sf).withColumn("label", F.col("y")), FEATURES, "label", keep)
+    rows = modelling(spark, sf).withColumn("label", F.col("y"))
+    return learners.spread(assemble(rows, FEATURES, "label", keep))
 
 
 def continuous(spark, sf):
     rows = modelling(spark, sf).withColumn("label", F.col("l_extendedprice"))
-    return assemble(rows, FEATURES, "label")
+    return learners.spread(assemble(rows, FEATURES, "label"))
 
 
 def outcome(model, df, by=("label", "prediction")):
@@ -221,7 +222,7 @@ def _(spark, sf):
     rows = modelling(spark, sf).withColumn("label", F.col("y"))
     _, indexed = fit_index(rows, TEXT)
     vectors = assemble(indexed, [*NUMERIC, *[f"{c}_index" for c in TEXT]], "label")
-    forest = learners.train(vectors, "random_forest", numTrees=20)
+    forest = learners.train(learners.spread(vectors), "random_forest", numTrees=20)
     kept = learners.top_features(learners.importance_table(forest, vectors), 5)
     return indexed.select(*LINE_KEY, "label", *kept)
 
@@ -244,7 +245,7 @@ def _(spark, sf):
     indexer, indexed = fit_index(rows, TEXT)
     slots = [*FEATURES, *[f"{c}_index" for c in TEXT]]
     vectors = assemble(indexed, slots, "label", LINE_KEY)
-    model = learners.train(vectors, "random_forest", numTrees=5)
+    model = learners.train(learners.spread(vectors), "random_forest", numTrees=5)
     from tabloom.operators.encode import assembler
 
     path = save_model(PipelineModel([indexer, assembler(slots), model]), scratch_path(spark, "model"))
@@ -365,7 +366,7 @@ def _(spark, sf):
 def _(spark, sf):
     tokens = table(spark, sf, "documents").where(F.col("text").isNotNull()).select("doc_id", tokenize(F.col("text")).alias("words"))
     terms = fit_term_vectors(tokens, "words")
-    vectors = terms.transform(tokens).select("doc_id", "features").persist()
+    vectors = learners.spread(terms.transform(tokens).select("doc_id", "features")).persist()
     try:
         model = topics.fit_topics(vectors)
     finally:

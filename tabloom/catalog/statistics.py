@@ -416,8 +416,8 @@ _TF_SQL = f"""{_TOKENS_SQL}, tf AS (SELECT doc_id, term, count(*) AS tf FROM (SE
     f"WITH {_TF_SQL} SELECT term, df, round(ln((n + 1) / (df + 1)), 8) AS idf FROM df, n",
 )
 def _(spark, sf):
-    weights = encode.term_weights(_tokens(spark, sf), "doc_id", "words", 10)
-    return weights.groupBy("term").agg(F.max("df").alias("df"), rounded(F.max("idf"), 8).alias("idf"))
+    found = encode.document_frequencies(_tokens(spark, sf), "words", 10)
+    return found.withColumn("idf", rounded(F.col("idf"), 8))
 
 
 @query(

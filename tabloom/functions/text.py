@@ -26,8 +26,6 @@ def tokenize(
 ) -> Column:
     """Lower-cased alphabetic words of at least ``min_length`` letters, in order."""
     words = F.split(F.lower(F.trim(text)), separators)
-    stop = F.array(*[F.lit(w) for w in stopwords if len(w) >= min_length])
-    return F.filter(
-        words,
-        lambda w: (F.length(w) >= min_length) & w.rlike(r"^\p{L}+$") & ~F.array_contains(stop, w),
-    )
+    stop = [w for w in stopwords if len(w) >= min_length]
+    keep = lambda w: (F.length(w) >= min_length) & ~w.isin(*stop) & w.rlike(r"^\p{L}+$")
+    return F.filter(words, keep)

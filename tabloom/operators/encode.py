@@ -159,26 +159,33 @@ def fit_term_vectors(
     return Pipeline(stages=[counts, IDF(inputCol="raw_features", outputCol=out)]).fit(tokens)
 
 
-def term_weights(tokens: DataFrame, key: str, column: str, min_documents: int = 1) -> DataFrame:
-    """Long form (key, term, tf, df, idf, weight) with idf = ln((n + 1) / (df + 1)).
-
-    Terms are counted per document first; document frequencies come from those counts.
-    """
+def document_frequencies(tokens: DataFrame, column: str, min_documents: int = 1) -> DataFrame:
+    """(term, df, idf) with idf = ln((n + 1) / (df + 1)); a document counts a term once."""
     documents = tokens.agg(F.count(F.lit(1)).alias("n")).scalar()
-    tf = (
-        tokens.select(key, F.explode(column).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    df = (
-        tf.groupBy("term")
+    return (
+        tokens.select(F.explode(F.array_distinct(column)).alias("term"))
+        .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
         .where(F.col("df") >= min_documents)
         .withColumn("n", documents)
         .withColumn("idf", F.log((F.col("n") + 1) / (F.col("df") + 1)))
         .drop("n")
     )
-    return tf.join(df, "term").withColumn("weight", F.col("tf") * F.col("idf"))
+
+
+def term_weights(tokens: DataFrame, key: str, column: str, min_documents: int = 1) -> DataFrame:
+    """Long form (key, term, tf, df, idf, weight) of every kept term of every document.
+
+    Terms are counted per document before the join. A term in a third of the documents makes
+    one hot join key; adaptive execution broadcasts the frequencies or splits that partition.
+    """
+    counted = (
+        tokens.select(key, F.explode(column).alias("term"))
+        .groupBy(key, "term")
+        .agg(F.count(F.lit(1)).alias("tf"))
+    )
+    frequencies = document_frequencies(tokens, column, min_documents)
+    return counted.join(frequencies, "term").withColumn("weight", F.col("tf") * F.col("idf"))
 
 
 def vector_slots(column: str, names: Sequence[str]):

@@ -62,22 +62,40 @@ def estimator(kind: str, features_col: str = "features", label: str = "label", *
     return ESTIMATORS[kind](featuresCol=features_col, labelCol=label, **(settings | params))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Training rows spread evenly over the cores, once.
+
+    An iterative fit reads its rows many times, so one shuffle of narrow vectors pays off
+    where the scan gives uneven or few tasks. Not for learners that read the rows once.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def train(df: DataFrame, kind: str, features_col: str = "features", label: str = "label", **params):
-    """Fits one learner. ``one_vs_rest`` wraps the learner named by ``base``."""
+    """Fits one learner. ``one_vs_rest`` wraps the learner named by ``base``.
+
+    Every learner reads its rows several times, so the two columns it needs are persisted
+    (memory, then disk) while it fits, unless the caller already persisted the frame.
+    """
     ensure_checkpoints(df.sparkSession)
-    if kind == "one_vs_rest":
-        base = estimator(params.pop("base", "random_forest"), features_col, label, **params)
-        return OneVsRest(classifier=base, featuresCol=features_col, labelCol=label).fit(df)
     if kind == "neural_network":
         width = len(feature_names(df, features_col))
         layers = params.setdefault("layers", [width, width * 3, width * 2, 2])
         if layers[0] != width:
             raise ValueError(f"first layer has {layers[0]} nodes for {width} features")
-    if kind == "naive_bayes":
-        lowest = df.agg(F.min(F.array_min(vector_to_array(features_col))).alias("m")).first().m
-        if lowest is not None and lowest < 0:
-            raise ValueError("naive Bayes needs non-negative features")
-    return estimator(kind, features_col, label, **params).fit(df)
+    rows = df if df.is_cached else df.select(label, features_col).persist()
+    try:
+        if kind == "naive_bayes":
+            lowest = rows.agg(F.min(F.array_min(vector_to_array(features_col))).alias("m")).first().m
+            if lowest is not None and lowest < 0:
+                raise ValueError("naive Bayes needs non-negative features")
+        if kind == "one_vs_rest":
+            base = estimator(params.pop("base", "random_forest"), features_col, label, **params)
+            return OneVsRest(classifier=base, featuresCol=features_col, labelCol=label).fit(rows)
+        return estimator(kind, features_col, label, **params).fit(rows)
+    finally:
+        if rows is not df:
+            rows.unpersist()
 
 
 def automated(kind: str, params: dict | None = None) -> dict:

@@ -223,23 +223,37 @@ def gap_to_group_max(df: DataFrame, group: str, value: str, out: str) -> DataFra
 def exact_quantile(
     df: DataFrame, column: str, quantile: float = 0.5, slices: int | None = None
 ) -> DataFrame:
-    """One row with the exact interpolated quantile, from counted distinct values.
+    """One row with the exact interpolated quantile.
 
-    Rows are pre-aggregated per value, so repeats cost nothing, and the running count over
-    the distinct values is distributed.
+    A sketch gives a narrow bracket around the quantile, one count says how many rows lie
+    below it, and only the values inside are grouped and ordered. Should the bracket miss,
+    which the count shows, the whole range is ordered instead.
     """
-    present = df.where(F.col(column).isNotNull())
-    counts = present.groupBy(column).agg(F.count(F.lit(1)).alias("__c"))
+    accuracy = 10_000
+    present = df.where(F.col(column).isNotNull()).select(F.col(column).alias("x"))
+    ends = [max(0.0, quantile - 5 / accuracy), min(1.0, quantile + 5 / accuracy)]
+    sketch = present.agg(
+        F.percentile_approx("x", ends, accuracy).alias("q"), F.count("x").alias("n"),
+    ).first()
+    if not sketch.n:
+        return present.agg(F.max("x").cast("double").alias("quantile"))
+    at = (sketch.n - 1) * quantile
+    first, last = math.floor(at), math.ceil(at)
+    low, high = sketch.q
+    counts = present.agg(
+        F.count(F.when(F.col("x") < low, 1)).alias("below"),
+        F.count(F.when(F.col("x") <= high, 1)).alias("upto"),
+    ).first()
+    below, inside = counts.below, present.where(F.col("x").between(low, high))
+    if not counts.below <= first <= last < counts.upto:
+        below, inside = 0, present
+    grouped = inside.groupBy("x").agg(F.count("x").alias("c"))
     placed = running_totals(
-        counts, column, descending=False, sums={"__cum": F.col("__c")}, position=None,
-        overall=True, slices=slices,
-    ).withColumn("__at", (F.col("__cum_all") - 1) * quantile)
-    covers = lambda at: (F.col("__cum") > at) & (F.col("__cum") - F.col("__c") <= at)
-    low, high = F.floor("__at"), F.ceil("__at")
-    ends = placed.where(covers(low) | covers(high)).agg(
-        F.min(F.when(covers(low), F.col(column))).alias("lo"),
-        F.max(F.when(covers(high), F.col(column))).alias("hi"),
-        F.max("__at").alias("at"),
+        grouped, "x", descending=False, sums={"cum": F.col("c")}, position=None, slices=slices
     )
-    share = F.col("at") - F.floor("at")
-    return ends.select((F.col("lo") + (F.col("hi") - F.col("lo")) * share).alias("quantile"))
+    upto = F.col("cum") + below
+    covers = lambda place: (upto > place) & (upto - F.col("c") <= place)
+    share = at - first
+    return placed.where(covers(first) | covers(last)).select(
+        F.when(covers(first), F.col("x")).alias("lo"), F.when(covers(last), F.col("x")).alias("hi")
+    ).agg((F.max("lo") * (1 - share) + F.max("hi") * share).alias("quantile"))

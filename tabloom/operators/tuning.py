@@ -30,6 +30,17 @@ def _table(spark, learner, grid, metrics) -> DataFrame:
     return spark.createDataFrame(rows, "reg_param double, elastic_net double, auc double")
 
 
+def _fit_persisted(search, df: DataFrame):
+    """Every candidate reads the same rows, so they are kept while the search runs."""
+    if df.is_cached:
+        return search.fit(df)
+    df.persist()
+    try:
+        return search.fit(df)
+    finally:
+        df.unpersist()
+
+
 def grid_by_holdout(
     df: DataFrame, label: str = "label", train_ratio: float = 0.7, parallelism: int = 3, seed: int = 12345,
     reg=REG_PARAMS, net=ELASTIC_NETS, max_iter: int = 10,
@@ -37,10 +48,11 @@ def grid_by_holdout(
     """(metric table, best model) of a grid scored on one held-out part."""
     learner = estimator("logistic", label=label, maxIter=max_iter)
     grid = _grid(learner, reg, net)
-    model = TrainValidationSplit(
+    search = TrainValidationSplit(
         estimator=learner, estimatorParamMaps=grid, trainRatio=train_ratio, seed=seed,
         evaluator=BinaryClassificationEvaluator(labelCol=label), parallelism=parallelism,
-    ).fit(df)
+    )
+    model = _fit_persisted(search, df)
     return _table(df.sparkSession, learner, grid, model.validationMetrics), model.bestModel
 
 
@@ -51,10 +63,11 @@ def grid_by_folds(
     """(metric table, best model) of a grid scored by k folds given as a column."""
     learner = estimator("logistic", label=label, maxIter=max_iter)
     grid = _grid(learner, reg, net)
-    model = CrossValidator(
+    search = CrossValidator(
         estimator=learner, estimatorParamMaps=grid, numFolds=folds, foldCol=fold_col,
         evaluator=BinaryClassificationEvaluator(labelCol=label), parallelism=parallelism,
-    ).fit(df)
+    )
+    model = _fit_persisted(search, df)
     return _table(df.sparkSession, learner, grid, model.avgMetrics), model.bestModel
 
 

@@ -20,8 +20,6 @@ def hot_rows(seed, n=400):
 
 
 def expected(pdf, descending):
-    ordered = pdf.sort_values("v", ascending=not descending, kind="stable", na_position="last")
-    groups = []
     ordered = pdf.copy()
     ordered["null"] = ordered.v.isna()
     ordered["sort"] = -ordered.v if descending else ordered.v
@@ -74,8 +72,6 @@ def test_ntile_equals_spark(spark):
 
 def test_no_single_task_window_on_rows(spark, sf):
     """Every window over base rows is partitioned; only slice totals are ordered globally."""
-    from pyspark.sql import Window  # noqa: F401
-
     df = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_totalprice")
     placed = ranking.running_totals(df, "o_totalprice", ["o_orderkey"], slices=8)
     text = placed._jdf.queryExecution().executedPlan().toString()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
-from tabloom.catalog.base import LINE_KEY, SCORED_SQL, big, query, scored, table
+from tabloom.catalog.base import LINE_KEY, LINE_ORDER, SCORED_SQL, big, query, scored, table
 from tabloom.functions.columns import rounded, safe_ratio
 from tabloom.operators import profile, ranking
 from tabloom.operators.evaluate import accuracy_sql
@@ -325,7 +325,7 @@ def _(spark, sf):
     return gaps.select("o_orderkey", "year", rounded(F.col("gap"), 4).alias("revenue_difference"))
 
 
-_KEYS = ", ".join(LINE_KEY)
+_KEYS = ", ".join(LINE_ORDER)
 _KEYS_BIG = ", ".join(f"{k}::bigint AS {k}" for k in LINE_KEY)
 
 
@@ -339,9 +339,9 @@ def _long_keys(df):
 )
 def _(spark, sf):
     placed = ranking.running_totals(
-        scored(spark, sf).select(*LINE_KEY, "score"), "score", LINE_KEY, position="row_number"
+        scored(spark, sf).select(*LINE_ORDER, "score"), "score", LINE_ORDER, position="row_number"
     )
-    return _long_keys(placed.drop("score"))
+    return _long_keys(placed.select(*LINE_KEY, "row_number"))
 
 
 @query(
@@ -349,8 +349,8 @@ def _(spark, sf):
     f"""WITH {SCORED_SQL} SELECT {_KEYS_BIG}, ntile(7) OVER (ORDER BY score DESC, {_KEYS})::bigint AS bucket FROM s""",
 )
 def _(spark, sf):
-    placed = ranking.global_ntile(scored(spark, sf).select(*LINE_KEY, "score"), "score", LINE_KEY, 7)
-    return _long_keys(placed.drop("score").withColumn("bucket", big("bucket")))
+    placed = ranking.global_ntile(scored(spark, sf).select(*LINE_ORDER, "score"), "score", LINE_ORDER, 7)
+    return _long_keys(placed.select(*LINE_KEY, big("bucket").alias("bucket")))
 
 
 @query(

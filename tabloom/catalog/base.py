@@ -39,7 +39,17 @@ def big(column: Column | str) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("bigint")
 
 
+def count_differences(first: DataFrame, second: DataFrame) -> DataFrame:
+    """(n, different): rows of the first frame, and rows that only one of the two has."""
+    sides = first.withColumn("__side", F.lit(1)).unionByName(second.withColumn("__side", F.lit(-1)))
+    balance = sides.groupBy(*first.columns).agg(
+        F.sum("__side").alias("balance"), F.count(F.when(F.col("__side") == 1, 1)).alias("n")
+    )
+    return balance.agg(F.sum("n").alias("n"), F.sum(F.abs("balance")).alias("different"))
+
+
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+LINE_ORDER = [*LINE_KEY, "l_extendedprice"]  # the key alone repeats in the smallest tables
 NUMERIC = [
     "l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_size", "p_retailprice", "o_totalprice",
 ]
@@ -74,7 +84,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with the target and a closed-form score, so no model is needed."""
     logit = 0.05 * (F.col("l_quantity") - 25) - 8 * (F.col("l_discount") - 0.05)
     return table(spark, sf_dir, "lineitem").select(
-        *LINE_KEY,
+        *LINE_ORDER,
         encode_target(F.col("l_returnflag"), "R").alias("y"),
         rounded(1 / (1 + F.exp(-logit)), 10).alias("score"),
     ).withColumn("prediction", F.when(F.col("score") >= 0.5, 1).otherwise(0))
@@ -82,7 +92,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SCORED_SQL = """s AS (
   SELECT *, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS prediction FROM (
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
            CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y,
            round(1 / (1 + exp(-(0.05 * (l_quantity - 25) - 8 * (l_discount - 0.05)))), 10) + 0.0 AS score
     FROM lineitem))"""

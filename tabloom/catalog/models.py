@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tabloom.catalog.base import (
-    LINE_KEY, MODELLING_SQL, NUMERIC, TEXT, big, modelling, query, rounded, table,
+    LINE_KEY, MODELLING_SQL, NUMERIC, TEXT, big, count_differences, modelling, query, rounded, table,
 )
 from tabloom.functions.columns import encode_target, positive_share
 from tabloom.functions.text import tokenize
 from tabloom.operators import cluster, learners, recommend, sampling, topics, tuning
-from tabloom.operators.encode import assemble, fit_index, fit_term_vectors
+from tabloom.operators.encode import assemble, assembler, fit_index, fit_term_vectors, row_shares
 from tabloom.operators.evaluate import multiclass_accuracy, regression_metrics
 from tabloom.session import scratch_path
 from tabloom.sources.writers import load_pipeline, save_model
@@ -239,22 +240,15 @@ def _(spark, sf):
 
 @query("model_save_load", f"WITH {MODELLING_SQL} SELECT count(*) AS n, 0::bigint AS different FROM m")
 def _(spark, sf):
-    from pyspark.ml import PipelineModel
-
     rows = modelling(spark, sf).withColumn("label", F.col("y"))
     indexer, indexed = fit_index(rows, TEXT)
     slots = [*FEATURES, *[f"{c}_index" for c in TEXT]]
     vectors = assemble(indexed, slots, "label", LINE_KEY)
     model = learners.train(learners.spread(vectors), "random_forest", numTrees=5)
-    from tabloom.operators.encode import assembler
-
     path = save_model(PipelineModel([indexer, assembler(slots), model]), scratch_path(spark, "model"))
-    fresh = load_pipeline(path).transform(rows).select(*LINE_KEY, positive_share(F.col("probability")).alias("again"))
-    before = model.transform(vectors).select(*LINE_KEY, positive_share(F.col("probability")).alias("first"))
-    both = before.join(fresh, LINE_KEY)
-    return both.agg(
-        F.count(F.lit(1)).alias("n"), F.sum((F.abs(F.col("first") - F.col("again")) > 1e-12).cast("bigint")).alias("different")
-    )
+    share = rounded(positive_share(F.col("probability")), 12).alias("share")
+    fresh = load_pipeline(path).transform(rows).select(*LINE_KEY, share)
+    return count_differences(model.transform(vectors).select(*LINE_KEY, share), fresh)
 
 
 # ---- tuning --------------------------------------------------------------------------
@@ -347,15 +341,11 @@ def _(spark, sf):
 
 @query("cv_cluster_sweep")
 def _(spark, sf):
-    from tabloom.operators.encode import row_shares
-
     return cluster.sweep(row_shares(_customers(spark, sf), _CUSTOMER), range(2, 8), "kmeans")
 
 
 @query("cv_cluster_sweep_bisecting")
 def _(spark, sf):
-    from tabloom.operators.encode import row_shares
-
     return cluster.sweep(row_shares(_customers(spark, sf), _CUSTOMER), range(2, 8), "bisecting")
 
 

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabloom.catalog.base import (
-    LINE_KEY, MODELLING_SQL, NUMERIC, SCORED_SQL, TEXT, big, modelling, query, rounded, scored, table,
+    LINE_KEY, LINE_ORDER, MODELLING_SQL, NUMERIC, SCORED_SQL, TEXT, big, modelling, query, rounded, scored, table,
 )
 from tabloom.functions.text import STOPWORDS, tokenize
 from tabloom.operators import association, encode, evaluate
@@ -524,7 +524,7 @@ def _(spark, sf):
     return _curve(evaluate.curve_points(scored(spark, sf), "y", "score", "pr", digits=4))
 
 
-_KEYS = ", ".join(LINE_KEY)
+_KEYS = ", ".join(LINE_ORDER)
 _DECILES_SQL = f"""{SCORED_SQL}, n AS (SELECT *, ntile(10) OVER (ORDER BY score DESC, {_KEYS})::bigint AS decile FROM s),
   a AS (SELECT decile, count(*) AS total, sum(y)::bigint AS target, sum(1 - y)::bigint AS non_target, avg(score) AS mean_score FROM n GROUP BY decile),
   c AS (SELECT *, sum(target) OVER (ORDER BY decile)::bigint AS cum_target, sum(non_target) OVER (ORDER BY decile)::bigint AS cum_non_target,
@@ -539,7 +539,7 @@ _DECILES_SQL = f"""{SCORED_SQL}, n AS (SELECT *, ntile(10) OVER (ORDER BY score
           round(target_dist - non_target_dist, 6) + 0.0 AS spread FROM k""",
 )
 def _(spark, sf):
-    found = evaluate.decile_table(scored(spark, sf), "y", "score", LINE_KEY)
+    found = evaluate.decile_table(scored(spark, sf), "y", "score", LINE_ORDER)
     return found.select(
         big("decile").alias("decile"), "total", "target", "non_target", rounded(F.col("mean_score"), 8).alias("mean_score"), "cum_target", "cum_non_target",
         *[rounded(F.col(c), 6).alias(c) for c in ("target_pct", "target_dist", "non_target_dist", "spread")],
@@ -548,7 +548,7 @@ def _(spark, sf):
 
 @query("ev_ks_value", f"WITH {_DECILES_SQL} SELECT round(max(abs(target_dist - non_target_dist)), 6) AS ks FROM k")
 def _(spark, sf):
-    deciles = evaluate.decile_table(scored(spark, sf), "y", "score", LINE_KEY, signed=False)
+    deciles = evaluate.decile_table(scored(spark, sf), "y", "score", LINE_ORDER, signed=False)
     return evaluate.ks_value(deciles).select(rounded(F.col("ks"), 6).alias("ks"))
 
 
@@ -558,7 +558,7 @@ def _(spark, sf):
           round(target_dist, 6) AS gains, round(target_dist / (decile * 10), 8) AS lift FROM k""",
 )
 def _(spark, sf):
-    found = evaluate.gains_table(scored(spark, sf), "y", "score", LINE_KEY)
+    found = evaluate.gains_table(scored(spark, sf), "y", "score", LINE_ORDER)
     return found.select(
         "decile_pct", rounded(F.col("actual"), 8).alias("actual"), rounded(F.col("pred"), 8).alias("pred"),
         rounded(F.col("gains"), 6).alias("gains"), rounded(F.col("lift"), 8).alias("lift"),

@@ -58,4 +58,5 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def default_slices(spark: SparkSession) -> int:
     """How many ordered slices a distributed ranking cuts its input into."""
-    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Four per shuffle partition, so that hashing slices to partitions evens out.
+    return max(8, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))

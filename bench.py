@@ -22,7 +22,7 @@ HEADLINE = [
     "fn_tokenize", "fx_idf", "fx_string_index", "fx_scale", "fx_pca",
     "stat_woe_iv", "stat_mono_bin", "stat_correlation", "stat_vif", "test_chisq", "stat_psi",
     "ev_classification", "ev_roc_auc", "ev_roc_points", "ev_decile_ks", "ev_gains_lift", "ev_regression",
-    "ml_logistic_binary", "ml_decision_tree_cls", "ml_random_forest_cls", "ml_naive_bayes",
+    "ml_logistic_binary_many", "ml_decision_tree_cls_deep", "ml_random_forest_cls_deep", "ml_naive_bayes",
     "un_kmeans", "un_als", "auto_select",
 ]
 

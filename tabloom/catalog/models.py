@@ -59,29 +59,57 @@ def _(spark, sf):
 
 
 # With one 0/1 feature the fitted log-odds are those of the two groups.
+_FLAGGED = "(SELECT CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS f, l_returnflag AS r FROM lineitem)"
+
+
+def _flagged(spark, sf, label):
+    lines = table(spark, sf, "lineitem").select(
+        encode_target(F.col("l_linestatus"), "F").cast("double").alias("f"), label.alias("label")
+    )
+    return learners.spread(assemble(lines, ["f"], "label"))
+
+
+def _fitted(model, rows):
+    found = learners.coefficient_table(model, rows)
+    return found.select(
+        big("class").alias("class"), "feature", rounded(F.col("coefficient"), 5).alias("coefficient")
+    )
+
+
 @query(
-    "ml_logistic_one_feature",
-    """WITH g AS (SELECT l_linestatus = 'F' AS f, avg(CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END) AS p FROM lineitem GROUP BY 1),
-       l AS (SELECT f, ln(p / (1 - p)) AS odds FROM g)
-       SELECT round(a.odds - b.odds, 5) + 0.0 AS coefficient, round(b.odds, 5) + 0.0 AS intercept FROM l a, l b WHERE a.f AND NOT b.f""",
+    "ml_logistic_binary",
+    f"""WITH g AS (SELECT f, avg(CASE WHEN r = 'R' THEN 1.0 ELSE 0.0 END) AS p FROM {_FLAGGED} GROUP BY f),
+       o AS (SELECT max(CASE WHEN f = 1 THEN ln(p / (1 - p)) END) AS one, max(CASE WHEN f = 0 THEN ln(p / (1 - p)) END) AS zero FROM g)
+       SELECT 0::bigint AS class, 'f' AS feature, round(one - zero, 5) + 0.0 AS coefficient FROM o
+       UNION ALL SELECT 0, '(intercept)', round(zero, 5) + 0.0 FROM o""",
 )
 def _(spark, sf):
-    lines = table(spark, sf, "lineitem").select(
-        encode_target(F.col("l_linestatus"), "F").cast("double").alias("f"), encode_target(F.col("l_returnflag"), "R").alias("label")
-    )
-    rows = assemble(lines, ["f"], "label")
-    model = learners.train(rows, "logistic", maxIter=100, tol=1e-12)
-    fitted = spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))], "coefficient double, intercept double")
-    return fitted.select(rounded(F.col("coefficient"), 5).alias("coefficient"), rounded(F.col("intercept"), 5).alias("intercept"))
+    rows = _flagged(spark, sf, encode_target(F.col("l_returnflag"), "R"))
+    return _fitted(learners.train(rows, "logistic", family="binomial", maxIter=100, tol=1e-9), rows)
 
 
-@query("ml_logistic_binary")
+# Class weights are the log shares of the groups, centred over the classes.
+@query(
+    "ml_logistic_multinomial",
+    f"""WITH n AS (SELECT f, CASE r WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS k, count(*) AS n FROM {_FLAGGED} GROUP BY ALL),
+       p AS (SELECT f, k, ln(n / sum(n) OVER (PARTITION BY f)) AS l FROM n),
+       c AS (SELECT f, k, l - avg(l) OVER (PARTITION BY f) AS l FROM p)
+       SELECT a.k::bigint AS class, 'f' AS feature, round(a.l - b.l, 5) + 0.0 AS coefficient FROM c a JOIN c b ON a.k = b.k AND a.f = 1 AND b.f = 0
+       UNION ALL SELECT k, '(intercept)', round(l, 5) + 0.0 FROM c WHERE f = 0""",
+)
+def _(spark, sf):
+    flag = F.col("l_returnflag")
+    rows = _flagged(spark, sf, F.when(flag == "A", 0).when(flag == "N", 1).otherwise(2))
+    return _fitted(learners.train(rows, "logistic", family="multinomial", maxIter=100, tol=1e-9), rows)
+
+
+@query("ml_logistic_binary_many")
 def _(spark, sf):
     rows = binary(spark, sf)
     return learners.coefficient_table(learners.train(rows, "logistic", family="binomial", maxIter=10), rows)
 
 
-@query("ml_logistic_multinomial")
+@query("ml_logistic_multinomial_many")
 def _(spark, sf):
     rows = binary(spark, sf)
     return learners.coefficient_table(learners.train(rows, "logistic", family="multinomial", maxIter=10), rows)
@@ -103,13 +131,74 @@ def _tree(name, kind, frame, **params):
         return learners.importance_table(learners.train(rows, kind, **params), rows)
 
 
-_tree("ml_decision_tree_cls", "decision_tree", binary, impurity="gini", maxDepth=5)
-_tree("ml_decision_tree_cls_entropy", "decision_tree", binary, impurity="entropy", maxDepth=5)
-_tree("ml_decision_tree_reg", "decision_tree_regressor", continuous, impurity="variance", maxDepth=5)
-_tree("ml_random_forest_cls", "random_forest", binary, numTrees=20)
-_tree("ml_random_forest_reg", "random_forest_regressor", continuous, numTrees=20)
-_tree("ml_gbt_cls", "gradient_boosting", binary, maxIter=10)
-_tree("ml_gbt_reg", "gradient_boosting_regressor", continuous, maxIter=10)
+_tree("ml_decision_tree_cls_deep", "decision_tree", binary, impurity="gini", maxDepth=5)
+_tree("ml_decision_tree_cls_entropy_deep", "decision_tree", binary, impurity="entropy", maxDepth=5)
+_tree("ml_decision_tree_reg_deep", "decision_tree_regressor", continuous, impurity="variance", maxDepth=5)
+_tree("ml_random_forest_cls_deep", "random_forest", binary, numTrees=20)
+_tree("ml_random_forest_reg_deep", "random_forest_regressor", continuous, numTrees=20)
+_tree("ml_gbt_cls_deep", "gradient_boosting", binary, maxIter=10)
+_tree("ml_gbt_reg_deep", "gradient_boosting_regressor", continuous, maxIter=10)
+
+# A one-level tree on 0/1 features splits on the one whose split leaves the least impurity,
+# which therefore holds all of the importance. The class here depends on the features, because
+# leaves that predict the same class are merged.
+_STUMP = {"large": "l_quantity > 25", "reduced": "l_discount > 0.05", "taxed": "l_tax > 0.04", "late": "l_linenumber > 4"}
+_STUMP_ROWS = " UNION ALL ".join(
+    f"SELECT '{name}' AS feature, {test} AS side, CASE WHEN l_quantity + 5 * l_linenumber > 45 THEN 1.0 ELSE 0.0 END AS y, l_extendedprice AS v FROM lineitem"
+    for name, test in _STUMP.items()
+)
+
+
+def _stump_label(kind):
+    return F.col("l_extendedprice") if kind.endswith("regressor") else F.expr("int(l_quantity + 5 * l_linenumber > 45)")
+
+
+def _stump_sql(impurity: str) -> str:
+    return f"""WITH r AS ({_STUMP_ROWS}), g AS (SELECT feature, side, count(*) AS n, avg(y) AS p, var_pop(v) AS var FROM r GROUP BY ALL),
+      i AS (SELECT feature, sum(n * ({impurity})) AS left_over FROM g GROUP BY feature)
+      SELECT feature, CASE WHEN left_over = min(left_over) OVER () THEN 1.0 ELSE 0.0 END::double AS importance FROM i"""
+
+
+def _stump(name, kind, impurity, measure):
+    @query(name, _stump_sql(measure))
+    def run(spark, sf):
+        lines = table(spark, sf, "lineitem")
+        label = _stump_label(kind)
+        tests = [F.expr(test).cast("double").alias(name) for name, test in _STUMP.items()]
+        rows = learners.spread(assemble(lines.select(label.alias("label"), *tests), list(_STUMP), "label"))
+        model = learners.train(rows, kind, impurity=impurity, maxDepth=1)
+        return learners.importance_table(model, rows).withColumn("importance", rounded(F.col("importance"), 8))
+
+
+_stump("ml_decision_tree_cls", "decision_tree", "gini", "2 * p * (1 - p)")
+_stump("ml_decision_tree_cls_entropy", "decision_tree", "entropy", "-p * log2(p) - (1 - p) * log2(1 - p)")
+_stump("ml_decision_tree_reg", "decision_tree_regressor", "variance", "var")
+
+
+# Unresampled forests and one boosting round on one 0/1 feature reproduce the group means.
+def _means(name, kind, value_sql, score, **params):
+    @query(
+        name,
+        f"""WITH g AS (SELECT l_quantity > 25 AS side, count(*) AS n, avg(CASE WHEN l_quantity + 5 * l_linenumber > 45 THEN 1.0 ELSE 0.0 END) AS p,
+              avg(l_extendedprice) AS v FROM lineitem GROUP BY 1) SELECT n, round({value_sql}, 6) + 0.0 AS value FROM g""",
+    )
+    def run(spark, sf):
+        lines = table(spark, sf, "lineitem")
+        label = _stump_label(kind)
+        large = F.expr("l_quantity > 25").cast("double").alias("large")
+        rows = learners.spread(assemble(lines.select(label.alias("label"), large), ["large"], "label", ["large"]))
+        model = learners.train(rows, kind, maxDepth=1, **params)
+        scored = model.transform(rows).select("large", score().alias("value"))
+        return scored.groupBy("large").agg(F.count(F.lit(1)).alias("n"), rounded(F.avg("value"), 6).alias("value")).drop("large")
+
+
+_share = lambda: positive_share(F.col("probability"))
+_forest = {"numTrees": 3, "bootstrap": False, "featureSubsetStrategy": "all"}
+_means("ml_random_forest_cls", "random_forest", "p", _share, **_forest)
+_means("ml_random_forest_reg", "random_forest_regressor", "v", lambda: F.col("prediction"), **_forest)
+_means("ml_gbt_reg", "gradient_boosting_regressor", "v", lambda: F.col("prediction"), maxIter=1)
+# The first round predicts the mean of labels coded -1 and 1; its probability is sigmoid(2 x raw).
+_means("ml_gbt_cls", "gradient_boosting", "1 / (1 + exp(-2 * (2 * p - 1)))", _share, maxIter=1)
 
 
 # A one-level tree on one 0/1 feature has one leaf per value.
@@ -231,11 +320,23 @@ def _(spark, sf):
 # ---- scoring helpers -----------------------------------------------------------------
 
 
-@query("fn_vector_element")
+# Naive Bayes probabilities have a closed form, so the extracted element can be checked.
+@query(
+    "fn_vector_element",
+    f"""WITH {MODELLING_SQL}, c AS (SELECT y, count(*) AS n, sum(l_quantity) AS s0, sum(l_linenumber) AS s1, sum(p_size) AS s2 FROM m GROUP BY y),
+        w AS (SELECT y, ln((n + 1) / (sum(n) OVER () + 2)) AS prior, ln((s0 + 1) / (s0 + s1 + s2 + 3)) AS w0,
+                     ln((s1 + 1) / (s0 + s1 + s2 + 3)) AS w1, ln((s2 + 1) / (s0 + s1 + s2 + 3)) AS w2 FROM c),
+        o AS (SELECT m.*, a.prior - b.prior + l_quantity * (a.w0 - b.w0) + l_linenumber * (a.w1 - b.w1) + p_size * (a.w2 - b.w2) AS odds
+              FROM m, (SELECT * FROM w WHERE y = 1) a, (SELECT * FROM w WHERE y = 0) b)
+        SELECT l_orderkey, l_linenumber::bigint AS l_linenumber, l_partkey, l_suppkey, round(1 / (1 + exp(-odds)), 8) AS probability FROM o""",
+)
 def _(spark, sf):
-    rows = binary(spark, sf, LINE_KEY)
-    model = learners.train(rows, "logistic", maxIter=10)
-    return model.transform(rows).select(*LINE_KEY, positive_share(F.col("probability")).alias("probability"))
+    rows = assemble(modelling(spark, sf).withColumn("label", F.col("y")), _NB, "label", LINE_KEY)
+    scored = learners.train(rows, "naive_bayes").transform(rows)
+    return scored.select(
+        "l_orderkey", big("l_linenumber").alias("l_linenumber"), "l_partkey", "l_suppkey",
+        rounded(positive_share(F.col("probability")), 8).alias("probability"),
+    )
 
 
 @query("model_save_load", f"WITH {MODELLING_SQL} SELECT count(*) AS n, 0::bigint AS different FROM m")

@@ -223,8 +223,24 @@ def _(spark, sf):
     return association.chi_square(modelling(spark, sf).select(*features, "y"), features, "y")
 
 
-@query("test_ks_normal")
+# The normal law by the power series of the error function, exact for these standard scores.
+@query(
+    "test_ks_normal",
+    """WITH m AS (SELECT avg(c_acctbal) AS m, stddev_samp(c_acctbal) AS s, count(*) AS n FROM customer),
+       z AS (SELECT (c_acctbal - m) / s / sqrt(2) AS x, row_number() OVER (ORDER BY c_acctbal) AS i, n FROM customer, m),
+       f AS (SELECT i, n, 0.5 + list_sum(list_transform(range(0, 40), lambda k: pow(-1, k) * pow(x, 2 * k + 1) / (gamma(k + 1) * (2 * k + 1)))) / sqrt(pi()) AS f FROM z)
+       SELECT round(max(greatest(i / n - f, f - (i - 1) / n)), 8) AS statistic FROM f""",
+)
+def _(spark, sf):
+    return _ks(spark, sf).select(rounded(F.col("statistic"), 8).alias("statistic"))
+
+
+@query("test_ks_normal_p_value")
 def _(spark, sf):
+    return _ks(spark, sf)
+
+
+def _ks(spark, sf):
     balances = table(spark, sf, "customer").select("c_acctbal")
     moments = balances.agg(F.avg("c_acctbal").alias("m"), F.stddev_samp("c_acctbal").alias("s")).first()  # one row
     return association.ks_normal(balances, "c_acctbal", moments.m, moments.s)
@@ -377,7 +393,26 @@ def _(spark, sf):
     return left
 
 
-@query("fx_chisq_select")
+# Features with the same number of levels rank by their statistic.
+_LEVELS = ["l_quantity", "p_size", "customer_group"]
+
+
+@query(
+    "fx_chisq_select",
+    f"""WITH q AS ({_chi_sql(_LEVELS).replace("FROM m", "FROM (SELECT m.*, l_suppkey % 50 AS customer_group FROM m)")})
+        SELECT feature, row_number() OVER (ORDER BY statistic DESC) <= 2 AS selected FROM q""",
+)
+def _(spark, sf):
+    rows = modelling(spark, sf).select(
+        "l_quantity", "p_size", (F.col("l_suppkey") % 50).cast("double").alias("customer_group"), "y"
+    )
+    names, _ = encode.chi_square_selector(rows, _LEVELS, "y", 2)
+    listed = F.explode(F.array(*[F.lit(f) for f in _LEVELS])).alias("feature")
+    counted = rows.agg(F.count(F.lit(1)).alias("n")).select(listed)
+    return counted.withColumn("selected", F.col("feature").isin(*names))
+
+
+@query("fx_chisq_select_text")
 def _(spark, sf):
     features = ["l_quantity", "p_size", "l_linestatus_index", "p_brand_index", "p_type_index", "o_orderpriority_index"]
     rows = modelling(spark, sf).select("l_quantity", "p_size", *TEXT, "y")
@@ -429,14 +464,22 @@ def _(spark, sf):
     return weights.select("doc_id", "term", "tf", rounded(F.col("weight"), 6).alias("weight"))
 
 
-@query("fx_count_vectorizer")
+@query(
+    "fx_count_vectorizer",
+    f"""WITH {_TF_SQL}, v AS (SELECT term, df FROM df JOIN tf USING (term) GROUP BY ALL ORDER BY sum(tf) DESC LIMIT 5000)
+        SELECT doc_id, count(v.term) AS terms, coalesce(sum(tf) FILTER (v.term IS NOT NULL), 0)::bigint AS words,
+               round(coalesce(sum(tf * ln((n + 1) / (df + 1))), 0), 4) + 0.0 AS weight
+        FROM documents LEFT JOIN tf USING (doc_id) LEFT JOIN v USING (term) CROSS JOIN n GROUP BY doc_id""",
+)
 def _(spark, sf):
     tokens = _tokens(spark, sf)
     vectors = encode.fit_term_vectors(tokens, "words").transform(tokens)
     counts, weights = vector_to_array("raw_features"), vector_to_array("features")
     nonzero = lambda a: F.size(F.filter(a, lambda x: x > 0))
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    return vectors.select("doc_id", nonzero(counts).alias("terms"), total(counts).alias("words"), total(weights).alias("weight"))
+    return vectors.select(
+        "doc_id", big(nonzero(counts)).alias("terms"), big(total(counts)).alias("words"), rounded(total(weights), 4).alias("weight")
+    )
 
 
 # ---- evaluation on the closed-form score ---------------------------------------------

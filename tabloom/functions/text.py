@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-# Common English function words removed before topic modelling.
+# Common English function words removed before topic modelling. Contractions
+# written with an apostrophe are left out, as the alphabetic test drops them anyway.
 STOPWORDS = (
     "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself "
     "she her hers herself it its itself they them their theirs themselves what which who whom "
@@ -14,7 +15,9 @@ STOPWORDS = (
     "doing a an the and but if or because as until while of at by for with about against between "
     "into through during before after above below to from up down in out on off over under again "
     "further then once here there when where why how all any both each few more most other some "
-    "such no nor not only own same so than too very s t can will just don should now"
+    "such no nor not only own same so than too very s t can will just don should now d ll m o re "
+    "ve y ain aren couldn didn doesn hadn hasn haven isn ma mightn mustn needn shan shouldn wasn "
+    "weren won wouldn"
 ).split()
 
 

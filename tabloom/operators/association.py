@@ -10,6 +10,7 @@ from pyspark.ml.stat import ChiSquareTest, Correlation, KolmogorovSmirnovTest
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabloom.operators.encode import assemble, quantile_binner
+from tabloom.operators.ranking import running_totals
 
 
 def _bin_entries(features: Sequence[str], bins: Mapping[str, Column]) -> Column:
@@ -193,14 +194,36 @@ def monotone_bins(
     )
 
 
-def correlation_matrix(df: DataFrame, features: Sequence[str], method: str = "pearson", invalid: str = "error") -> np.ndarray:
+def average_ranks(df: DataFrame, column: str, out: str) -> DataFrame:
+    """(value, ascending rank) per distinct value; equal values share the mean of their ranks.
+
+    Ranks are worked out on counted distinct values, so a value shared by many rows is one
+    row here; joined back, its rows can be split at run time.
+    """
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("__c"))
+    placed = running_totals(
+        counts, column, descending=False, sums={"__cum": F.col("__c")}, position=None
+    )
+    return placed.select(column, (F.col("__cum") - (F.col("__c") - 1) / 2).alias(out))
+
+
+def correlation_matrix(
+    df: DataFrame, features: Sequence[str], method: str = "pearson", invalid: str = "error"
+) -> np.ndarray:
+    """Features x features matrix; Spearman is Pearson of the average ranks."""
     if method not in ("pearson", "spearman"):
         raise ValueError("method is 'pearson' or 'spearman'")
-    vectors = assemble(df, features, invalid=invalid)
+    columns = list(features)
     if method == "spearman":
-        vectors = vectors.persist()  # ranked column by column, several passes
+        if invalid == "skip":
+            df = df.dropna(subset=columns)
+        columns = [f"__rank_{f}" for f in features]
+        ranks = [average_ranks(df, f, c) for f, c in zip(features, columns)]
+        for feature, table in zip(features, ranks):
+            df = df.join(table, feature, "left")
+    vectors = assemble(df, columns, invalid=invalid).persist()  # read twice
     try:
-        return Correlation.corr(vectors, "features", method).first()[0].toArray()
+        return Correlation.corr(vectors, "features").first()[0].toArray()
     finally:
         vectors.unpersist()
 

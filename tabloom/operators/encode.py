@@ -99,7 +99,11 @@ def feature_names(df: DataFrame, vector: str) -> list[str]:
 def principal_components(df: DataFrame, features: Sequence[str], k: int):
     """(loadings, variance): loadings by component and feature, shares with their running sum."""
     spark = df.sparkSession
-    model = PCA(k=k, inputCol="features", outputCol="components").fit(assemble(df, features))
+    vectors = assemble(df, features).persist()  # read for the means, then for the products
+    try:
+        model = PCA(k=k, inputCol="features", outputCol="components").fit(vectors)
+    finally:
+        vectors.unpersist()
     loadings, shares = model.pc.toArray(), model.explainedVariance.toArray()
     rows = [(c + 1, f, float(loadings[i][c])) for c in range(k) for i, f in enumerate(features)]
     cumulative = np.cumsum(shares)

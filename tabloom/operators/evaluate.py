@@ -127,7 +127,8 @@ def decile_table(
 
     Rows are placed in the score order without a single-task window; everything after the
     one aggregate works on ``buckets`` rows per group. Percentages are unrounded; the
-    largest spread is the KS value.
+    largest spread is the KS value. The scores are read three times: persist them first if
+    they come straight from a model.
     """
     bucketed = global_ntile(
         scored.select(*by, *keys, F.col(label).alias("__y"), F.col(score).cast("double").alias("__s")),
@@ -174,26 +175,24 @@ def gains_table(
 def regression_metrics(scored: DataFrame, label: str, prediction: str, predictors: int = 1) -> DataFrame:
     """One row (n, mse, rmse, mae, explained_variance, r2, r2_adjusted) from one aggregate.
 
-    The label mean is a scalar subquery so the sums of squares are taken about the mean and
-    do not cancel.
+    Explained variance is the mean squared distance of the predictions from the label mean,
+    which is their own variance plus the squared difference of the two means.
     """
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
-    mean = scored.agg(F.avg(y).alias("m")).scalar()
-    work = scored.select(y.alias("y"), p.alias("p")).withColumn("m", mean)
-    err = F.col("y") - F.col("p")
-    sums = work.agg(
+    err = y - p
+    sums = scored.agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(err * err).alias("mse"),
         F.avg(F.abs(err)).alias("mae"),
-        F.avg(F.pow(F.col("p") - F.col("m"), 2)).alias("explained_variance"),
-        F.avg(F.pow(F.col("y") - F.col("m"), 2)).alias("__var"),
+        (F.var_pop(p) + F.pow(F.avg(p) - F.avg(y), 2)).alias("explained_variance"),
+        F.var_pop(y).alias("label_variance"),
     )
-    r2 = 1 - F.try_divide(F.col("mse"), F.col("__var"))
+    unexplained = F.try_divide(F.col("mse"), F.col("label_variance"))
     n = F.col("n")
     return sums.select(
         "n", "mse", F.sqrt("mse").alias("rmse"), "mae", "explained_variance",
-        r2.alias("r2"),
-        (1 - F.try_divide((1 - r2) * (n - 1), n - predictors - 1)).alias("r2_adjusted"),
+        (1 - unexplained).alias("r2"),
+        (1 - F.try_divide(unexplained * (n - 1), n - predictors - 1)).alias("r2_adjusted"),
     )
 
 

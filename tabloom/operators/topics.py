@@ -11,11 +11,14 @@ from tabloom.session import ensure_checkpoints
 
 
 def fit_topics(
-    vectors: DataFrame, topics: int = 5, iterations: int = 100, optimizer: str = "online",
+    vectors: DataFrame, topics: int = 5, iterations: int = 100, optimizer: str = "em",
     features_col: str = "features", seed: int = 12345,
 ):
-    """Latent Dirichlet allocation. ``em`` is the other optimiser; it keeps a term-document
-    graph and checkpoints it in the shared folder."""
+    """Latent Dirichlet allocation over every document in every iteration (``em``).
+
+    Its term-document graph is checkpointed in the shared folder every ten iterations.
+    ``online`` reads a share of the documents per iteration, for corpora too large for that.
+    """
     ensure_checkpoints(vectors.sparkSession)
     return LDA(
         k=topics, maxIter=iterations, optimizer=optimizer, featuresCol=features_col, seed=seed,

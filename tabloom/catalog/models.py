@@ -370,13 +370,57 @@ def _(spark, sf):
     return table(spark, sf, "lineitem").groupBy(fold).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("cv_kfold")
+# With one 0/1 feature a fitted score has two values, so its area under the ROC curve depends
+# only on the sign of the coefficient: 0.5 + sign x (true rate - false rate) / 2. A penalty with
+# an L1 part sets the coefficient to zero where |covariance of label and standardised feature|
+# does not exceed regularisation x elastic net.
+_LATE = """(SELECT *, CASE WHEN l_linenumber > 4 THEN 1.0 ELSE 0.0 END AS f,
+  CASE WHEN l_quantity + 2 * l_linenumber > 33 THEN 1.0 ELSE 0.0 END AS label FROM lineitem)"""
+_FOLD = "('0x' || substr(md5('7|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey), 1, 8))::bigint % 3"
+
+
+def _late(rows, keep):
+    marked = rows.withColumns({
+        "f": F.expr("double(l_linenumber > 4)"), "label": F.expr("int(l_quantity + 2 * l_linenumber > 33)"),
+    })
+    return learners.spread(assemble(marked, ["f"], "label", keep))
+
+
+@query(
+    "cv_kfold",
+    f"""WITH r AS (SELECT f, label, {_FOLD} AS fold FROM {_LATE}), k AS (SELECT unnest([0, 1, 2]) AS fold),
+       c AS (SELECT k.fold, covar_pop(f, label) / stddev_samp(f) AS c FROM k JOIN r ON r.fold <> k.fold GROUP BY k.fold),
+       t AS (SELECT fold, avg(f) FILTER (label = 1) - avg(f) FILTER (label = 0) AS gap FROM r GROUP BY fold),
+       g AS (SELECT * FROM (VALUES (0.1), (0.01)) a(reg_param), (VALUES (0.0), (0.5), (1.0)) b(elastic_net))
+       SELECT reg_param::double AS reg_param, elastic_net::double AS elastic_net,
+              round(avg(0.5 + CASE WHEN abs(c) > reg_param * elastic_net THEN sign(c) ELSE 0 END * gap / 2), 8) AS auc
+       FROM g, c JOIN t USING (fold) GROUP BY ALL""",
+)
+def _(spark, sf):
+    rows = _late(table(spark, sf, "lineitem"), LINE_KEY).withColumn("fold", sampling.fold_of(LINE_KEY, 3, "7"))
+    found, _ = tuning.grid_by_folds(rows.select("label", "features", "fold"), "fold", 3)
+    return found.withColumn("auc", rounded(F.col("auc"), 8))
+
+
+@query("cv_kfold_many")
 def _(spark, sf):
     rows = binary(spark, sf, LINE_KEY).withColumn("fold", sampling.fold_of(LINE_KEY, 3, "7"))
     return tuning.grid_by_folds(rows.select("label", "features", "fold"), "fold", 3)[0]
 
 
-@query("cv_leave_one_group_out")
+@query(
+    "cv_leave_one_group_out",
+    f"""WITH r AS (SELECT f, label, l_returnflag AS g FROM {_LATE}), k AS (SELECT DISTINCT g FROM r),
+       c AS (SELECT k.g, covar_pop(f, label) AS c, avg(f) FILTER (label = 1) - avg(f) FILTER (label = 0) AS gap FROM k JOIN r ON r.g <> k.g GROUP BY k.g),
+       t AS (SELECT g, avg(f) FILTER (label = 1) - avg(f) FILTER (label = 0) AS gap FROM r GROUP BY g)
+       SELECT g AS "group", round(0.5 + sign(c) * c.gap / 2, 8) AS train_auc, round(0.5 + sign(c) * t.gap / 2, 8) AS test_auc FROM c JOIN t USING (g)""",
+)
+def _(spark, sf):
+    found = tuning.leave_one_group_out(_late(table(spark, sf, "lineitem"), ["l_returnflag"]), "l_returnflag")
+    return found.select("group", *[rounded(F.col(c), 8).alias(c) for c in ("train_auc", "test_auc")])
+
+
+@query("cv_leave_one_group_out_many")
 def _(spark, sf):
     return tuning.leave_one_group_out(binary(spark, sf, ["o_orderstatus"]), "o_orderstatus")
 

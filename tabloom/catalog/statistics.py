@@ -394,17 +394,17 @@ def _(spark, sf):
 
 
 # Features with the same number of levels rank by their statistic.
-_LEVELS = ["l_quantity", "p_size", "customer_group"]
+_LEVELS = ["l_quantity", "p_size", "part_group"]
 
 
 @query(
     "fx_chisq_select",
-    f"""WITH q AS ({_chi_sql(_LEVELS).replace("FROM m", "FROM (SELECT m.*, l_suppkey % 50 AS customer_group FROM m)")})
+    f"""WITH q AS ({_chi_sql(_LEVELS).replace("FROM m", "FROM (SELECT m.*, l_partkey % 50 AS part_group FROM m)")})
         SELECT feature, row_number() OVER (ORDER BY statistic DESC) <= 2 AS selected FROM q""",
 )
 def _(spark, sf):
     rows = modelling(spark, sf).select(
-        "l_quantity", "p_size", (F.col("l_suppkey") % 50).cast("double").alias("customer_group"), "y"
+        "l_quantity", "p_size", (F.col("l_partkey") % 50).cast("double").alias("part_group"), "y"
     )
     names, _ = encode.chi_square_selector(rows, _LEVELS, "y", 2)
     listed = F.explode(F.array(*[F.lit(f) for f in _LEVELS])).alias("feature")

@@ -181,6 +181,6 @@ def top_k(
         return _ranked(first, k).select("query_id", "rank", "vec_id", "score")
     floors = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("floor"))
     floors = floors.filter(F.col("n") == k).select(F.col("query_id").alias("id"), "floor")
-    asked = queries.join(floors, "id", "left").fillna(float("-inf"), ["floor"]).withColumn("shard", numbers(1, shards - 1))
-    rest = round_of(asked, points.filter("shard > 0"))
+    asked = stored(queries.join(floors, "id", "left").fillna(float("-inf"), ["floor"]), "topk-asked")
+    rest = round_of(asked.withColumn("shard", numbers(1, shards - 1)), points.filter("shard > 0"))
     return _ranked(first.unionByName(rest), k).select("query_id", "rank", "vec_id", "score")

@@ -13,7 +13,12 @@ from tabloom.operators.ranking import exact_quantile
 
 def _bucket(parts: str, salt: str = "") -> str:
     prefix = f"'{salt}|' || " if salt else ""
-    return f"('0x' || substr(md5({prefix}{parts}), 1, 8))::bigint % 10000"
+    return f"('0x' || substr(md5({prefix}{parts}), 1, 8))::bigint"
+
+
+def _below(share: float) -> int:
+    """The 32-bit hash values below which a share of the keys lies."""
+    return round(share * (1 << 32))
 
 
 @query("sample_srs")
@@ -32,16 +37,21 @@ def _(spark, sf):
     return sampling.sample_strata(orders, "year", {1996: 0.2, 1997: 0.4, 1998: 0.4}, 11)
 
 
-@query("sample_hash", f"SELECT o_orderkey, o_totalprice FROM orders WHERE {_bucket('o_orderkey::varchar')} < 4000")
+@query("sample_hash", f"SELECT o_orderkey, o_totalprice FROM orders WHERE {_bucket('o_orderkey::varchar')} < {_below(0.4)}")
 def _(spark, sf):
     return sampling.sample_by_key(table(spark, sf, "orders"), "o_orderkey", 0.4).select("o_orderkey", "o_totalprice")
 
 
+@query("sample_hash_fine", f"SELECT o_orderkey FROM orders WHERE {_bucket('o_orderkey::varchar')} < {_below(0.00123)}")
+def _(spark, sf):
+    return sampling.sample_by_key(table(spark, sf, "orders"), "o_orderkey", 0.00123).select("o_orderkey")
+
+
 @query(
     "sample_hash_stratified",
     f"""SELECT o_orderkey, year(o_orderdate)::bigint AS year FROM orders
         WHERE {_bucket("o_orderkey::varchar", "11")} <
-              CASE year(o_orderdate) WHEN 1996 THEN 2000 WHEN 1997 THEN 4000 WHEN 1998 THEN 4000 ELSE 0 END""",
+              CASE year(o_orderdate) WHEN 1996 THEN {_below(0.2)} WHEN 1997 THEN {_below(0.4)} WHEN 1998 THEN {_below(0.4)} ELSE 0 END""",
 )
 def _(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", big(F.year("o_orderdate")).alias("year"))
@@ -56,7 +66,7 @@ def _(spark, sf):
 
 @query(
     "split_hash",
-    f"""SELECT o_orderkey, CASE WHEN b < 7000 THEN 'train' WHEN b < 9000 THEN 'test' ELSE 'holdout' END AS part
+    f"""SELECT o_orderkey, CASE WHEN b < {_below(0.7)} THEN 'train' WHEN b < {_below(0.7 + 0.2)} THEN 'test' ELSE 'holdout' END AS part
         FROM (SELECT o_orderkey, {_bucket("o_orderkey::varchar", "12345")} AS b FROM orders)""",
 )
 def _(spark, sf):
@@ -67,7 +77,7 @@ def _(spark, sf):
 
 @query(
     "split_stratified",
-    f"""SELECT o_orderstatus, CASE WHEN b < 7000 THEN 'train' ELSE 'test' END AS part, count(*) AS n, sum(o_orderkey)::bigint AS keys
+    f"""SELECT o_orderstatus, CASE WHEN b < {_below(0.7)} THEN 'train' ELSE 'test' END AS part, count(*) AS n, sum(o_orderkey)::bigint AS keys
         FROM (SELECT *, {_bucket("o_orderkey::varchar || '|' || o_orderstatus", "12345")} AS b FROM orders) GROUP BY ALL""",
 )
 def _(spark, sf):

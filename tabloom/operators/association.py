@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.ml.stat import ChiSquareTest, Correlation, KolmogorovSmirnovTest
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import NumericType
 
 from tabloom.operators.encode import assemble, quantile_binner
 from tabloom.operators.ranking import running_totals
@@ -65,11 +66,12 @@ def woe_table(
 ) -> DataFrame:
     """Weight of evidence per feature and bin, with the feature's information value.
 
-    Numeric features use the given inner split points, else equal-frequency bins. A missing
+    Numeric features use the given inner split points, else equal-frequency bins; those of any
+    other type are binned by value. A missing
     category is a bin of its own; a one-class bin has an infinite log ratio, counted as 0.
     """
     splits = dict(splits or {})
-    numeric = [f for f in features if df.schema[f].dataType.typeName() not in ("string",)]
+    numeric = [f for f in features if isinstance(df.schema[f].dataType, NumericType)]
     work, bins = split_bins(df, {f: splits[f] for f in numeric if f in splits})
     rest = [f for f in numeric if f not in splits]
     if rest:
@@ -252,13 +254,21 @@ def correlation_pairs(
 
 
 def vif(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(feature, vif): the diagonal of the inverse correlation matrix, from one scan."""
-    matrix = correlation_matrix(df, features)
-    try:
-        diagonal = np.diag(np.linalg.inv(matrix))
-    except np.linalg.LinAlgError:
-        diagonal = np.full(len(features), np.inf)
-    rows = [(f, float(v)) for f, v in zip(features, diagonal)]
+    """(feature, vif): the diagonal of the inverse correlation matrix.
+
+    A constant feature has no inflation (null) and leaves the others as they are without it. A
+    feature that the others determine exactly is infinite; the rest are as without that excess.
+    """
+    spans = df.agg(*[(F.min(f) < F.max(f)).alias(f"s{i}") for i, f in enumerate(features)]).first()
+    varying = [f for f, differs in zip(features, spans) if differs]
+    found: dict[str, float] = {}
+    if varying:
+        values, vectors = np.linalg.eigh(correlation_matrix(df, varying))
+        free = values < 1e-10 * len(varying)
+        inverse = (vectors[:, ~free] ** 2 / values[~free]).sum(axis=1)
+        determined = (vectors[:, free] ** 2).sum(axis=1) > 1e-8
+        found = {f: float("inf") if d else float(v) for f, d, v in zip(varying, determined, inverse)}
+    rows = [(f, found.get(f)) for f in features]
     return df.sparkSession.createDataFrame(rows, "feature string, vif double")
 
 

@@ -44,8 +44,10 @@ def thresholds(
 ) -> DataFrame:
     """One row per distinct score, best first: counts, running counts, class totals.
 
-    ``digits`` rounds the score first, which bounds the number of thresholds.
+    ``digits`` rounds the score first, which bounds the number of thresholds. Rows without a
+    label or a score take no part.
     """
+    scored = scored.where(F.col(label).isNotNull() & F.col(score).isNotNull())
     value = F.col(score).cast("double")
     value = F.round(value, digits) if digits is not None else value
     grouped = scored.groupBy(*by, value.alias("threshold")).agg(

@@ -63,12 +63,14 @@ def estimator(kind: str, features_col: str = "features", label: str = "label", *
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Training rows spread evenly over the cores, once.
+    """Training rows spread evenly, once, over the session's shuffle partitions or the cores if more.
 
     An iterative fit reads its rows many times, so one shuffle of narrow vectors pays off
     where the scan gives uneven or few tasks. Not for learners that read the rows once.
     """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    spark = df.sparkSession
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(shuffled, spark.sparkContext.defaultParallelism))
 
 
 def train(df: DataFrame, kind: str, features_col: str = "features", label: str = "label", **params):

@@ -10,6 +10,13 @@ from pyspark.sql.types import FloatType, DoubleType, NumericType, StringType
 from tabloom.functions.missing import is_missing, quoted
 
 
+def _distinct_text(df: DataFrame, column: str) -> Column:
+    """Text that is equal for equal values; 0.0 and -0.0 are one value."""
+    value = quoted(column)
+    floating = isinstance(df.schema[column].dataType, (FloatType, DoubleType))
+    return (value + F.lit(0.0) if floating else value).cast("string")
+
+
 def _stack(row: DataFrame, columns: Sequence[str], fields: dict[str, str]) -> DataFrame:
     """Turns a one-row wide aggregate ``<field>__<column>`` into one row per column."""
     entries = [
@@ -58,7 +65,7 @@ def cardinality_profile(
             F.inline(
                 F.array(
                     *[
-                        F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("v"))
+                        F.struct(F.lit(c).alias("column"), _distinct_text(df, c).alias("v"))
                         for c in columns
                     ]
                 )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions.columns import hash_bucket
 
-GRAIN = 10_000
+GRAIN = 1 << 32  # all values of the 32-bit hash, so that no fraction is too small
 
 
 def sample(df: DataFrame, fraction: float, seed: int, replace: bool = False) -> DataFrame:

@@ -31,33 +31,63 @@ from tabloom.llm.token_ids import Recent
 
 BITS = 16
 KEPT_WORDS = 200_000
-_UPPER, _LOWER, _DIGIT = re.compile(r"[^\W\d_a-zß-öø-ÿ]+"), re.compile(r"[^\W\d_A]+"), re.compile(r"\d+")
+_LETTER, _SMALL = re.compile(r"[^\W\d_]"), re.compile(r"[a-zß-öø-ÿ]")
+
+
+def _kind(char: str) -> str:
+    if char.isdecimal():
+        return "0"
+    return ("a" if _SMALL.match(char) else "A") if _LETTER.match(char) else char
+
+
+class _Kinds(dict):
+    """The kind of every character met, by code point, as ``str.translate`` asks for it."""
+
+    def __missing__(self, code: int) -> str:
+        self[code] = kind = _kind(chr(code))
+        return kind
+
+
+_KINDS = _Kinds()
+
+
+def _shortened(kinds: str) -> str:
+    return re.sub(r"(.)\1+", r"\1\1", re.sub(r"([Aa0])\1+", r"\1", kinds))
 
 
 def shape_of(word: str) -> str:
-    shape = _DIGIT.sub("0", _LOWER.sub("a", _UPPER.sub("A", word[:64])))
-    return re.sub(r"(.)\1+", r"\1\1", shape)
+    return _shortened(word[:64].translate(_KINDS))
 
 
-def _places(word: str) -> tuple[int, int]:
+def _shape_place(kinds: str) -> int:
     import xxhash
 
-    mask = (1 << BITS) - 1
-    return xxhash.xxh32_intdigest("w" + word) & mask, xxhash.xxh32_intdigest("s" + shape_of(word)) & mask
+    return xxhash.xxh32_intdigest("s" + _shortened(kinds)) & ((1 << BITS) - 1)
+
+
+_SHAPES = Recent(_shape_place, KEPT_WORDS)
+
+
+def _places(word: str) -> int:
+    """The bucket of a word and, below it, the bucket of its shape."""
+    import xxhash
+
+    return (xxhash.xxh32_intdigest("w" + word) & ((1 << BITS) - 1)) << BITS | _SHAPES[word[:64].translate(_KINDS)]
 
 
 _KNOWN = Recent(_places, KEPT_WORDS)
 
 
-def features_of(text: str | None) -> tuple[list[int], list[float]]:
-    """Buckets and values of a text: shares of words and shapes, scaled to length 1."""
-    words = text.split() if text else []
-    sums: dict[int, float] = {}
-    for word, times in Counter(words).items():
-        for place in _KNOWN[word]:
-            sums[place] = sums.get(place, 0) + times
-    norm = math.sqrt(sum(v * v for v in sums.values())) or 1.0
-    return list(sums), [v / norm for v in sums.values()]
+def features_of(text: str | None) -> tuple[Any, Any]:
+    """Arrays of buckets and values of a text: shares of words and shapes, scaled to length 1."""
+    import numpy as np
+
+    counts = Counter(text.split() if text else [])
+    both = np.fromiter(map(_KNOWN.__getitem__, counts), np.int64, len(counts))
+    times = np.fromiter(counts.values(), np.float64, len(counts))
+    places, which = np.unique(np.concatenate([both >> BITS, both & ((1 << BITS) - 1)]), return_inverse=True)
+    values = np.bincount(which, np.concatenate([times, times]), len(places))
+    return places, values / (math.sqrt(values @ values) or 1.0)
 
 
 @dataclass
@@ -71,8 +101,7 @@ class OrdinalModel:
     def judge(self, text: str | None, top: int) -> tuple[float, float]:
         """The expected grade and the probability of at least grade ``top``."""
         places, values = features_of(text)
-        weights = self.weights
-        value = sum(weights[p] * v for p, v in zip(places, values))
+        value = float(self.weights[places] @ values)
         above = [1 / (1 + math.exp(max(-60.0, min(60.0, t - value)))) for t in self.thresholds]
         expected = self.grades[0] + sum((b - a) * p for a, b, p in zip(self.grades, self.grades[1:], above))
         reach = next((i for i, g in enumerate(self.grades) if g >= top), None)
@@ -155,7 +184,7 @@ def judge(docs: DataFrame, model: OrdinalModel, top: int, id_col: str = "doc_id"
     """``id_col``, ``expected_grade`` and ``tail_probability`` (of at least grade ``top``) of every document."""
     import pyarrow as pa
 
-    shared = docs.sparkSession.sparkContext.broadcast(OrdinalModel(model.weights.tolist(), model.thresholds, model.grades))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value

@@ -257,21 +257,21 @@ def _(spark, sf):
 
 
 _DECILES = """d AS (SELECT o_orderkey, o_totalprice,
-  ntile(10) OVER (ORDER BY o_totalprice DESC, o_orderkey)::bigint AS decile_rank FROM orders)"""
+  ntile(10) OVER (ORDER BY o_totalprice DESC, o_orderkey)::bigint AS decile FROM orders)"""
 
 
 def _order_deciles(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return ranking.global_ntile(orders, "o_totalprice", ["o_orderkey"], 10, out="decile_rank")
+    return ranking.global_ntile(orders, "o_totalprice", ["o_orderkey"], 10, out="decile")
 
 
 @query(
     "agg_bucket_minmax",
-    f"""WITH {_DECILES} SELECT decile_rank, min(o_totalprice) AS min_price, max(o_totalprice) AS max_price, count(*) AS n
-        FROM d GROUP BY decile_rank""",
+    f"""WITH {_DECILES} SELECT decile, min(o_totalprice) AS min_price, max(o_totalprice) AS max_price, count(*) AS n
+        FROM d GROUP BY decile""",
 )
 def _(spark, sf):
-    return _order_deciles(spark, sf).groupBy(big("decile_rank").alias("decile_rank")).agg(
+    return _order_deciles(spark, sf).groupBy(big("decile").alias("decile")).agg(
         F.min("o_totalprice").alias("min_price"), F.max("o_totalprice").alias("max_price"), F.count(F.lit(1)).alias("n")
     )
 
@@ -298,7 +298,7 @@ def _(spark, sf):
 
 @query("win_ntile", f"WITH {_DECILES} SELECT * FROM d")
 def _(spark, sf):
-    return _order_deciles(spark, sf).withColumn("decile_rank", big("decile_rank"))
+    return _order_deciles(spark, sf).withColumn("decile", big("decile"))
 
 
 @query(
@@ -316,13 +316,13 @@ def _(spark, sf):
 @query(
     "win_gap_to_max",
     """SELECT o_orderkey, year(o_orderdate)::bigint AS year,
-              round(max(o_totalprice) OVER (PARTITION BY year(o_orderdate)) - o_totalprice, 4) AS revenue_difference
+              round(max(o_totalprice) OVER (PARTITION BY year(o_orderdate)) - o_totalprice, 4) AS below_top
        FROM orders""",
 )
 def _(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", big(F.year("o_orderdate")).alias("year"))
     gaps = ranking.gap_to_group_max(orders, "year", "o_totalprice", "gap")
-    return gaps.select("o_orderkey", "year", rounded(F.col("gap"), 4).alias("revenue_difference"))
+    return gaps.select("o_orderkey", "year", rounded(F.col("gap"), 4).alias("below_top"))
 
 
 _KEYS = ", ".join(LINE_ORDER)

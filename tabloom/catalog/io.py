@@ -55,6 +55,21 @@ def _(spark, sf):
     return readers.read_table(spark, name, ["o_orderkey", "o_totalprice"])
 
 
+@query(
+    "src_table_describe",
+    """SELECT column_name AS col_name, CASE data_type WHEN 'VARCHAR' THEN 'string' ELSE lower(data_type) END AS data_type
+       FROM (SELECT column_name, column_type AS data_type FROM (DESCRIBE orders))
+       WHERE column_name IN ('o_orderkey', 'o_totalprice', 'o_orderstatus')""",
+)
+def _(spark, sf):
+    name = unique_name("orders")
+    writers.write_table(_orders(spark, sf).select("o_orderkey", "o_totalprice", "o_orderstatus"), name)
+    try:
+        return readers.describe_table(spark, name).select("col_name", "data_type")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 @query(
     "src_json_records",
     """SELECT event_id, user_id, event_type, value, (props::json ->> '$.k')::bigint AS k FROM events""",
@@ -73,10 +88,10 @@ def _(spark, sf):
     return drawn.agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"))
 
 
-@query("view_sql", "SELECT o_orderpriority AS ratings, count(o_orderpriority) AS ratings_count FROM orders GROUP BY 1")
+@query("view_sql", "SELECT o_orderpriority AS priority, count(o_orderpriority) AS priority_count FROM orders GROUP BY 1")
 def _(spark, sf):
-    text = "select o_orderpriority as ratings, count(o_orderpriority) as ratings_count from temp_data group by o_orderpriority"
-    return readers.query_view(table(spark, sf, "orders"), "temp_data", text)
+    text = "select o_orderpriority as priority, count(o_orderpriority) as priority_count from priced group by o_orderpriority"
+    return readers.query_view(table(spark, sf, "orders"), "priced", text)
 
 
 @query("sink_csv", _TYPED_SQL)
@@ -99,7 +114,7 @@ def _(spark, sf):
 
 @query("sink_table", "SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1")
 def _(spark, sf):
-    name = unique_name("film_ratings")
+    name = unique_name("order_totals")
     writers.write_table(_orders(spark, sf), name, scratch_path(spark, "managed"))
     return readers.query_view(
         spark.table(name), unique_name("v"),

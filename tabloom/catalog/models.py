@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tabloom.catalog.base import (
@@ -106,19 +107,19 @@ def _(spark, sf):
 @query("ml_logistic_binary_many")
 def _(spark, sf):
     rows = binary(spark, sf)
-    return learners.coefficient_table(learners.train(rows, "logistic", family="binomial", maxIter=10), rows)
+    return learners.coefficient_table(learners.train(rows, "logistic", family="binomial"), rows)
 
 
 @query("ml_logistic_multinomial_many")
 def _(spark, sf):
     rows = binary(spark, sf)
-    return learners.coefficient_table(learners.train(rows, "logistic", family="multinomial", maxIter=10), rows)
+    return learners.coefficient_table(learners.train(rows, "logistic", family="multinomial"), rows)
 
 
 @query("ml_linear_svc")
 def _(spark, sf):
     rows = binary(spark, sf)
-    return learners.coefficient_table(learners.train(rows, "linear_svc", maxIter=20), rows)
+    return learners.coefficient_table(learners.train(rows, "linear_svc"), rows)
 
 
 # ---- trees ---------------------------------------------------------------------------
@@ -136,8 +137,8 @@ _tree("ml_decision_tree_cls_entropy_deep", "decision_tree", binary, impurity="en
 _tree("ml_decision_tree_reg_deep", "decision_tree_regressor", continuous, impurity="variance", maxDepth=5)
 _tree("ml_random_forest_cls_deep", "random_forest", binary, numTrees=20)
 _tree("ml_random_forest_reg_deep", "random_forest_regressor", continuous, numTrees=20)
-_tree("ml_gbt_cls_deep", "gradient_boosting", binary, maxIter=10)
-_tree("ml_gbt_reg_deep", "gradient_boosting_regressor", continuous, maxIter=10)
+_tree("ml_gbt_cls_deep", "gradient_boosting", binary)
+_tree("ml_gbt_reg_deep", "gradient_boosting_regressor", continuous)
 
 # A one-level tree on 0/1 features splits on the one whose split leaves the least impurity,
 # which therefore holds all of the importance. The class here depends on the features, because
@@ -231,10 +232,9 @@ def _(spark, sf):
 
 @query("ml_one_vs_rest")
 def _(spark, sf):
-    vectors = table(spark, sf, "embeddings").select(
-        "vec_id", F.col("label").cast("double").alias("label"), *[F.col("embedding")[i].alias(f"e{i}") for i in range(64)]
+    rows = table(spark, sf, "embeddings").where("embedding IS NOT NULL").select(
+        "vec_id", F.col("label").cast("double").alias("label"), array_to_vector("embedding").alias("features")
     )
-    rows = assemble(vectors, [f"e{i}" for i in range(64)], "label", ["vec_id"])
     train, test = sampling.split(rows, [0.7, 0.3], 12345, key="vec_id")
     model = learners.train(train, "one_vs_rest", base="random_forest")
     return multiclass_accuracy(model.transform(test), "label", "prediction")
@@ -265,7 +265,7 @@ def _(spark, sf):
 def _four_importances(spark, sf):
     rows = binary(spark, sf).persist()
     methods = {
-        "decision_tree": {}, "gradient_boosting": {"maxIter": 10}, "logistic": {"maxIter": 10}, "random_forest": {"numTrees": 20},
+        "decision_tree": {}, "gradient_boosting": {}, "logistic": {}, "random_forest": {"numTrees": 20},
     }
     found = None
     try:
@@ -420,6 +420,19 @@ def _(spark, sf):
     return found.select("group", *[rounded(F.col(c), 8).alias(c) for c in ("train_auc", "test_auc")])
 
 
+@query(
+    "cv_leave_one_group_out_mean",
+    f"""WITH r AS (SELECT f, label, l_returnflag AS g FROM {_LATE}), k AS (SELECT DISTINCT g FROM r),
+       c AS (SELECT k.g, covar_pop(f, label) AS c, avg(f) FILTER (label = 1) - avg(f) FILTER (label = 0) AS gap FROM k JOIN r ON r.g <> k.g GROUP BY k.g),
+       t AS (SELECT g, avg(f) FILTER (label = 1) - avg(f) FILTER (label = 0) AS gap FROM r GROUP BY g)
+       SELECT count(*) AS "groups", round(avg(0.5 + sign(c) * c.gap / 2), 8) AS train_auc, round(avg(0.5 + sign(c) * t.gap / 2), 8) AS test_auc
+       FROM c JOIN t USING (g)""",
+)
+def _(spark, sf):
+    found = tuning.leave_one_group_out(_late(table(spark, sf, "lineitem"), ["l_returnflag"]), "l_returnflag")
+    return tuning.mean_areas(found).select("groups", *[rounded(F.col(c), 8).alias(c) for c in ("train_auc", "test_auc")])
+
+
 @query("cv_leave_one_group_out_many")
 def _(spark, sf):
     return tuning.leave_one_group_out(binary(spark, sf, ["o_orderstatus"]), "o_orderstatus")
@@ -427,13 +440,6 @@ def _(spark, sf):
 
 # ---- clustering ----------------------------------------------------------------------
 
-_EMBEDDED = [f"e{i}" for i in range(64)]
-
-
-def _embedded(spark, sf):
-    return table(spark, sf, "embeddings").select("vec_id", *[F.col("embedding")[i].alias(f"e{i}") for i in range(64)])
-
-
 def _customers(spark, sf):
     spend = table(spark, sf, "orders").groupBy("o_custkey").agg(
         F.sum("o_totalprice").alias("spend"), F.count(F.lit(1)).cast("double").alias("orders"), F.max("o_totalprice").alias("largest")
@@ -454,7 +460,8 @@ def _(spark, sf):
 
 @query("un_kmeans_embeddings")
 def _(spark, sf):
-    _, assigned = cluster.cluster_shares(_embedded(spark, sf), _EMBEDDED, 10, "kmeans")
+    vectors = table(spark, sf, "embeddings").where("embedding IS NOT NULL").select("vec_id", array_to_vector("embedding").alias("raw"))
+    _, assigned = cluster.cluster_vector_shares(vectors, "raw", 10, "kmeans")
     return assigned.select("vec_id", F.col("prediction").alias("cluster"))
 
 

@@ -44,10 +44,10 @@ def _(spark, sf):
 
 @query(
     "rename_columns",
-    "SELECT o_orderkey AS film_id, o_orderpriority AS film_ratings, o_totalprice AS film_popularity FROM orders",
+    "SELECT o_orderkey AS order_id, o_orderpriority AS urgency, o_totalprice AS price FROM orders",
 )
 def _(spark, sf):
-    names = {"o_orderkey": "film_id", "o_orderpriority": "film_ratings", "o_totalprice": "film_popularity"}
+    names = {"o_orderkey": "order_id", "o_orderpriority": "urgency", "o_totalprice": "price"}
     return table(spark, sf, "orders").select(*names).withColumnsRenamed(names)
 
 
@@ -92,7 +92,7 @@ def _(spark, sf):
 
 
 BANDS_SQL = """SELECT o_orderkey,
-  CASE WHEN o_totalprice < 100000 THEN 'Small' WHEN o_totalprice < 300000 THEN 'Medium' ELSE 'Big' END AS budget_cat,
+  CASE WHEN o_totalprice < 100000 THEN 'Small' WHEN o_totalprice < 300000 THEN 'Medium' ELSE 'Big' END AS price_band,
   CASE WHEN o_custkey < 300 THEN 'Low' WHEN o_custkey < 900 THEN 'Mid' ELSE 'High' END AS ratings
 FROM orders"""
 PRICE_BANDS = [(100000, "Small"), (300000, "Medium")]
@@ -103,16 +103,16 @@ RATING_BANDS = [(300, "Low"), (900, "Mid")]
 def _(spark, sf):
     return table(spark, sf, "orders").select(
         "o_orderkey",
-        band(F.col("o_totalprice"), PRICE_BANDS, "Big").alias("budget_cat"),
+        band(F.col("o_totalprice"), PRICE_BANDS, "Big").alias("price_band"),
         band(F.col("o_custkey"), RATING_BANDS, "High").alias("ratings"),
     )
 
 
 @query("struct_udf_unpack", BANDS_SQL)
 def _(spark, sf):
-    pair = label_pair_udf((PRICE_BANDS, "Big"), (RATING_BANDS, "High"), "budget_cat string, ratings string")
-    labelled = table(spark, sf, "orders").select("o_orderkey", pair("o_totalprice", "o_custkey").alias("newcat"))
-    return unpack(labelled, "newcat")
+    pair = label_pair_udf((PRICE_BANDS, "Big"), (RATING_BANDS, "High"), "price_band string, ratings string")
+    labelled = table(spark, sf, "orders").select("o_orderkey", pair("o_totalprice", "o_custkey").alias("labels"))
+    return unpack(labelled, "labels")
 
 
 @query(

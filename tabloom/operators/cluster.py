@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import Normalizer
 from pyspark.sql import DataFrame
 
 from tabloom.operators.encode import row_shares
@@ -34,6 +35,17 @@ def cluster_shares(df: DataFrame, features: Sequence[str], k: int = 2, kind: str
     return model, model.transform(row_shares(df, features))
 
 
+def cluster_vector_shares(df: DataFrame, vector_col: str, k: int = 2, kind: str = "kmeans"):
+    """``cluster_shares`` of a vector column of any length, without naming its places."""
+    shares = Normalizer(p=1.0, inputCol=vector_col, outputCol="features").transform(df)
+    vectors = shares.persist()
+    try:
+        model = fit_clusters(vectors, k, kind)
+    finally:
+        vectors.unpersist()
+    return model, model.transform(shares)
+
+
 def centre_table(model, features: Sequence[str], spark) -> DataFrame:
     rows = [
         (c, f, float(x)) for c, centre in enumerate(model.clusterCenters()) for f, x in zip(features, centre)

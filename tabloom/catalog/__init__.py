@@ -1,6 +1,6 @@
 """Named queries over the given tables. Importing this package registers all of them."""
 
-from tabloom.catalog import aggregates, builds, io, models, sampling, statistics, wrangling  # noqa: F401
+from tabloom.catalog import aggregates, builds, facts, io, models, sampling, statistics, wrangling  # noqa: F401
 from tabloom.catalog.base import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

@@ -10,6 +10,7 @@ A value that alone fills more than a slice gets slices of its own, cut along the
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -19,6 +20,7 @@ from pyspark.sql.types import DecimalType, NumericType
 from tabloom.session import default_slices
 
 _SLICE, _LEAD = "__slice", "__lead"
+BROADCAST_SLICES = 100_000
 
 
 def _quantile_cuts(df: DataFrame, column: str, slices: int) -> list[float]:
@@ -29,15 +31,16 @@ def _quantile_cuts(df: DataFrame, column: str, slices: int) -> list[float]:
     return [v for v in (row.q or []) if v is not None and not math.isnan(v)]
 
 
-def _edges(cuts: Sequence[float]) -> tuple[list[float], list[float]]:
+def _edges(cuts: Sequence[float], endless: bool) -> tuple[list[float], list[float]]:
     """Bucket edges from quantiles, and the values hot enough to repeat among them.
 
     A repeated quantile v becomes a bucket holding only v: edges at v and just above it.
     Beyond 2^53 different whole numbers share a double, so those are not taken as points.
+    The infinite places are points only if ``endless``, where each stands for one value.
     """
-    distinct = sorted(set(cuts))
-    hot = [v for v in distinct if cuts.count(v) > 1 and abs(v) < 2**53]
-    inner = set(distinct) | {math.nextafter(v, math.inf) for v in hot}
+    times = Counter(cuts)
+    hot = [v for v in sorted(times) if times[v] > 1 and (abs(v) < 2**53 or (endless and math.isinf(v)))]
+    inner = set(times) | {math.nextafter(v, math.inf) for v in hot}
     return [-math.inf, *sorted(inner - {-math.inf, math.inf}), math.inf], hot
 
 
@@ -54,27 +57,31 @@ def _rising(name: str, descending: bool) -> Column:
     )
 
 
-def _sliced(
+def _cut(
     df: DataFrame, value: str, keys: Sequence[str], descending: bool, slices: int
-) -> tuple[DataFrame, list[str]]:
+) -> tuple[DataFrame, list[str], int]:
     """Adds slice columns that rise, read left to right, with the requested order.
 
-    Missing values have a slice to themselves; the others are cut along ``value``. While
+    Missing and not-a-number values are set apart; the others are cut along ``value``. While
     some point of the order so far repeats among the cuts, a further column cuts the rows at
-    such points along the next key.
+    such points, missing values among them, along the next key. Also returns the most slices
+    that the cuts can make.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    work = df.withColumn(f"{_SLICE}_null", F.col(value).isNull().cast("int"))
-    place, at_hot, wanted = [f"{_SLICE}_null"], F.lit(True), slices
+    number = F.col(value).cast("double")
+    kind = F.when(number.isNull(), 3).when(F.isnan(number), 0 if descending else 2).otherwise(1)
+    work = df.withColumn(f"{_SLICE}_kind", kind)
+    place, at_hot, wanted = [f"{_SLICE}_kind"], F.lit(True), slices
+    points, most = 4, 0  # four kinds; each point of a level is cut by the next
     for depth, name in enumerate([value, *keys]):
         if not isinstance(types[name], NumericType):
             break
         lead, out = f"{_LEAD}{depth}", f"{_SLICE}{depth}"
         work = work.withColumn(lead, _rising(name, descending and depth == 0))
         cuts = _quantile_cuts(work.where(at_hot).select(lead), lead, wanted)
-        edges, hot = _edges(cuts)
+        edges, hot = _edges(cuts, endless=depth == 0)
         if isinstance(types[name], DecimalType):
-            hot = []  # as doubles, different decimals can look equal
+            hot = [v for v in hot if math.isinf(v)]  # as doubles, different decimals can look equal
         if len(edges) > 2:
             cutter = Bucketizer(splits=edges, inputCol=lead, outputCol=out, handleInvalid="keep")
             work = cutter.transform(work)
@@ -83,12 +90,22 @@ def _sliced(
         if depth:
             work = work.withColumn(out, F.when(at_hot, F.col(out)).otherwise(0.0))
         place.append(out)
+        most += points * (len(edges) - 1)
+        points *= len(hot)
         if not hot:
             break
         at_hot = at_hot & F.col(lead).isin(*hot)
         # A value repeated m times among the cuts fills m slices, so 2m are plenty for it.
-        wanted = 2 * max(cuts.count(v) for v in hot)
-    return work, place
+        times = Counter(cuts)
+        wanted = 2 * max(times[v] for v in hot)
+    return work, place, max(most, 4)
+
+
+def _sliced(
+    df: DataFrame, value: str, keys: Sequence[str], descending: bool, slices: int
+) -> tuple[DataFrame, list[str]]:
+    """The frame with its slice columns, and their names."""
+    return _cut(df, value, keys, descending, slices)[:2]
 
 
 def running_totals(
@@ -118,7 +135,7 @@ def running_totals(
     slices = slices or default_slices(df.sparkSession)
     adds = {name: f"__add_{name}" for name in totals}
     work = df.withColumns({adds[n]: expr for n, expr in totals.items()})
-    work, cuts = _sliced(work, value, keys, descending, slices)
+    work, cuts, most = _cut(work, value, keys, descending, slices)
     place = [*within, *cuts]
 
     # One small row per slice: its totals, then the totals of everything before it.
@@ -130,8 +147,8 @@ def running_totals(
         *[F.coalesce(F.sum(f"__sum_{n}").over(before), F.lit(0)).alias(f"__off_{n}") for n in totals],
         *[F.sum(f"__sum_{n}").over(group).alias(f"{n}_all") for n in totals if overall],
     )
-    if not within:
-        offsets = F.broadcast(offsets)  # one row per slice, whatever the table size
+    if not within and most <= BROADCAST_SLICES:
+        offsets = F.broadcast(offsets)  # beyond the bound the join shuffles
     lead = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     inside = (
         Window.partitionBy(*place)

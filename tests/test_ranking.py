@@ -5,7 +5,7 @@ import random
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tabloom.operators import ranking
 
@@ -111,3 +111,25 @@ def test_group_trim_before_shuffle(spark, sf):
     best = ranking.top_per_group(orders, ["o_orderstatus"], [F.desc("o_totalprice")], 3)
     text = best._jdf.queryExecution().executedPlan().toString()
     assert text.count("WindowGroupLimit") == 2 and "Partial" in text
+
+
+def _slice_sizes(df, value, keys, descending, slices):
+    work, place = ranking._sliced(df, value, keys, descending, slices)
+    return [r["count"] for r in work.groupBy(*place).count().collect()]
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_missing_and_odd_values_are_spread(spark, descending):
+    """A third of the values missing, others infinite, not a number or one hot value."""
+    odd = (
+        F.when(F.col("id") % 3 == 0, F.lit(None).cast("double")).when(F.col("id") % 7 == 0, float("nan"))
+        .when(F.col("id") % 5 == 0, float("inf")).when(F.col("id") % 11 == 0, float("-inf"))
+        .when(F.col("id") % 2 == 0, 4.0).otherwise(F.col("id") % 100 * 1.0)
+    )
+    rows = spark.range(6000).withColumn("x", odd)
+    order = F.col("x").desc_nulls_last() if descending else F.col("x").asc_nulls_last()
+    wanted = rows.withColumn("want", F.row_number().over(Window.orderBy(order, "id")))
+    placed = ranking.running_totals(rows, "x", ["id"], descending=descending, slices=20)
+    assert placed.join(wanted.select("id", "want"), "id").where("position <> want").count() == 0
+    sizes = _slice_sizes(rows, "x", ["id"], descending, 20)
+    assert sum(sizes) == 6000 and max(sizes) <= 900

@@ -56,7 +56,7 @@ def _shortened(kinds: str) -> str:
 
 
 def shape_of(word: str) -> str:
-    return _shortened(word[:64].translate(_KINDS))
+    return _shortened(word.translate(_KINDS))
 
 
 def _shape_place(kinds: str) -> int:
@@ -72,7 +72,7 @@ def _places(word: str) -> int:
     """The bucket of a word and, below it, the bucket of its shape."""
     import xxhash
 
-    return (xxhash.xxh32_intdigest("w" + word) & ((1 << BITS) - 1)) << BITS | _SHAPES[word[:64].translate(_KINDS)]
+    return (xxhash.xxh32_intdigest("w" + word) & ((1 << BITS) - 1)) << BITS | _SHAPES[word.translate(_KINDS)]
 
 
 _KNOWN = Recent(_places, KEPT_WORDS)

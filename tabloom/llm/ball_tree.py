@@ -1,6 +1,7 @@
 """Exact top-k search by inner product: a ball tree per shard, branch and bound.
 
-The vectors are dealt to shards of bounded size by a hash of their id, the queries to blocks. Each
+The vectors are dealt to shards of bounded size by a hash of a row number in a written table, so that
+repeated rows spread over all shards, and the queries to blocks. Each
 (shard, block) pair is one task's group: it builds a ball tree over the shard and searches it for
 each query of the block, opening nodes by the largest inner product they can hold (centre product
 plus query length times radius) and leaving all nodes that cannot reach the current k-th score. A
@@ -159,13 +160,14 @@ def top_k(
     scale: float = 1024.0, shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``; ``is_query`` is a condition on ``id`` (the row's id)."""
-    vectors = stored(whole_vectors(rows, id_col, vector_col, scale), "topk-vectors")
+    vectors = whole_vectors(rows, id_col, vector_col, scale).withColumn("row", F.monotonically_increasing_id())
+    vectors = stored(vectors, "topk-vectors")
     queries = vectors.filter(is_query).groupBy("id").agg(F.min("v").alias("v"))
     n_rows, n_queries = vectors.count(), queries.count()
     shards, blocks = max(1, -(-n_rows // shard_rows)), max(1, -(-n_queries // block_queries))
     # A row goes to its shard once for each block, a query to its block once for each shard.
     numbers = lambda a, b: F.explode(F.sequence(F.lit(a), F.lit(b)))
-    points = vectors.withColumn("shard", F.pmod(F.xxhash64(F.lit(1), "id", "v"), F.lit(shards)).cast("int"))
+    points = vectors.withColumn("shard", F.pmod(F.xxhash64(F.lit(1), "row"), F.lit(shards)).cast("int"))
     points = points.withColumn("block", numbers(0, blocks - 1))
     queries = queries.withColumn("block", F.pmod(F.xxhash64(F.lit(2), "id"), F.lit(blocks)).cast("int"))
 

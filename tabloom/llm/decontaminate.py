@@ -10,7 +10,7 @@ a larger benchmark takes several blocks, each a pass over the documents, whose s
 Documents are never shuffled for a single block and no document is compared with another.
 
 Cases: a null or empty text has no words and is clean; an item without words, or null, has no
-window; items with equal words all count; items with a null id have no name and are left out;
+window; items with equal words all count; the windows of items with a null id mark hits, but add no name;
 repeated documents each give a row; an empty benchmark leaves all clean; columns of the documents
 named like the added ones are replaced. A document of any length is read whole.
 """
@@ -52,12 +52,12 @@ class Automaton:
     that hold runs of window length.
     """
 
-    def __init__(self, items: Iterable[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: Iterable[tuple[str | None, list[bytes]]], window: int):
         self.window = window
         self.step: list[dict[bytes, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.within: dict[int, tuple[str, ...]] = {}
-        self.short: dict[int, list[tuple[int, str]]] = {}
+        self.within: dict[int, tuple[str | None, ...]] = {}
+        self.short: dict[int, list[tuple[int, str | None]]] = {}
         items = [(name, words) for name, words in items if words]
         for _, words in items:
             last = 0
@@ -96,7 +96,7 @@ class Automaton:
         return clone
 
     def _mark(self, items) -> None:
-        within: dict[int, set[str]] = {}
+        within: dict[int, set[str | None]] = {}
         for name, words in items:
             state, matched = 0, 0
             size = min(self.window, len(words))
@@ -110,9 +110,9 @@ class Automaton:
                         within.setdefault(top, set()).add(name)
         self.within = {s: tuple(names) for s, names in within.items()}
         # Short items at a state or at any shorter suffix of it, longest first.
-        by_state: dict[int, tuple[tuple[int, str], ...]] = {}
+        by_state: dict[int, tuple[tuple[int, str | None], ...]] = {}
         for s in sorted(range(len(self.link)), key=self.length.__getitem__):
-            own = sorted(self.short.get(s, ()), reverse=True)
+            own = sorted(self.short.get(s, ()), key=lambda own: own[0], reverse=True)
             up = by_state.get(self.link[s], ()) if s else ()
             if own or up:
                 by_state[s] = tuple(own) + up
@@ -136,11 +136,11 @@ class Automaton:
             matched = self.length[state]
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
-        """Spans of hit words (end exclusive, in order, disjoint) and the items whose windows occur."""
+        """Spans of hit words (end exclusive, in order, disjoint) and the names of the items whose windows occur."""
         step, link, length, window = self.step, self.link, self.length, self.window
         whole, within = self.whole, self.within
         spans: list[list[int]] = []
-        found: set[str] = set()
+        found: set[str | None] = set()
         state = matched = 0
         for at, word in enumerate(words):
             to = step[state].get(word)
@@ -171,7 +171,7 @@ class Automaton:
                 while spans and spans[-1][1] >= start:
                     start = min(start, spans.pop()[0])
                 spans.append([start, at + 1])
-        return [(a, b) for a, b in spans], found
+        return [(a, b) for a, b in spans], found - {None}
 
 
 def _block_count(named: DataFrame, max_words: int) -> int:
@@ -251,7 +251,7 @@ def contamination(
     """
     rows = docs.select(*dict.fromkeys([id_col, text_col, *keep]))
     named = items.select(F.col(item_id).cast("string").alias("name"), F.col(item_text).alias("text"))
-    named = named.filter(F.col("name").isNotNull() & F.col("text").isNotNull())
+    named = named.filter(F.col("text").isNotNull())
     count = _block_count(named, max_words)
     if count > 1:
         rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "decontaminate-rows")

@@ -310,6 +310,13 @@ def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31)))).first())
 
 
+def _rooted(codes: DataFrame, distance: int, max_group: int) -> DataFrame:
+    """``fp``, ``least`` and the root of the component, from distinct fingerprints with their ``least``."""
+    labels = components(links(codes.select("fp"), distance, max_group))
+    return stored(codes.join(labels, codes.fp == labels.node, "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), "least"), "simhash-roots")
+
+
 def near_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, distance: int = 2,
     seed: int = 42, max_group: int = MAX_GROUP,
@@ -317,9 +324,7 @@ def near_groups(
     """Per row: ``id_col``, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id of its component."""
     marked = stored(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-fp")
     codes = stored(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "simhash-codes")
-    labels = components(links(codes.select("fp"), distance, max_group))
-    roots = stored(codes.join(labels, codes.fp == labels.node, "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "least"), "simhash-roots")
+    roots = _rooted(codes, distance, max_group)
     least = stored(roots.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
     named = stored(roots.join(least, "root").select("fp", "component_id"), "simhash-named")
     return marked.join(named, "fp").select(
@@ -330,10 +335,22 @@ def near_groups(
 def keep_one(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, distance: int = 2, seed: int = 42
 ) -> DataFrame:
-    """The documents with the smallest id of their component, with their own columns.
+    """One document of each component, with its own columns: that of the smallest id, null ids last.
 
-    Of repeated rows with that id one stays; rows with a null id are left out.
+    Rows are told apart by a number in a written copy of the documents; of rows with the same id
+    the smallest text hash, then the smallest number, comes first. If several components would keep
+    different texts under one id, the first of them stays, so that ids stay unique; each row
+    with a null id stands for itself.
     """
-    groups = near_groups(docs, id_col, text_col, shingle, distance, seed)
-    kept = groups.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    return docs.join(stored(kept, "simhash-kept"), id_col, "left_semi").dropDuplicates([id_col]).select(*docs.columns)
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
+    order = F.struct(
+        F.col(id_col).isNull().alias("nameless"), F.col(id_col).alias("id"),
+        F.xxhash64(text_col).alias("text"), F.col("_row").alias("row"),
+    )
+    marked = fingerprints(rows.select(order.alias("_order"), text_col), "_order", text_col, shingle, seed)
+    codes = stored(marked.groupBy("fp").agg(F.min("_order").alias("least")), "simhash-codes")
+    least = _rooted(codes, distance, MAX_GROUP).groupBy("root").agg(F.min("least").alias("least")).select("least.*")
+    # A null id is one of its own for each row.
+    own = F.when(F.col("nameless"), F.col("row"))
+    kept = least.groupBy("id", own).agg(F.min(F.struct("text", "row")).alias("first")).select(F.col("first.row").alias("_row"))
+    return rows.join(stored(kept, "simhash-kept"), "_row", "left_semi").select(*docs.columns)

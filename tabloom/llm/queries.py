@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.llm import (
+    alignment,
     ball_tree,
     decontaminate,
     language,
     line_dedup,
     packing,
+    phrases,
     quality,
+    secret_scan,
     simhash,
     token_store,
     toxicity,
@@ -103,6 +106,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, top=2000, cover=80)
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), *alignment.default_paths())
+
+
+@query
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, ledger = table(spark, sf_dir, "documents"), scratch_path(spark, "secret-ledger")
+    secret_scan.record(docs, ledger)
+    return secret_scan.report(secret_scan.findings(docs, ledger))
+
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -188,3 +208,61 @@ best AS (SELECT r, verdict FROM found QUALIFY row_number() OVER (PARTITION BY r
 SELECT page_id, host, path, rule, coalesce(fits.verdict, best.verdict, 'allow') AS verdict
 FROM parts LEFT JOIN fits USING (r) LEFT JOIN best USING (r)
 """
+
+CHECKS["op11_collocations"] = f"""
+WITH pieces AS (SELECT row_number() OVER () AS p, lang, piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+words AS (SELECT p, lang, unnest(w) AS word, unnest(range(len(w))) AS i
+          FROM (SELECT p, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces)),
+leads AS (SELECT lang, word AS w1, lead(word, 1) OVER s AS w2, lead(word, 2) OVER s AS w3, lead(word, 3) OVER s AS w4
+          FROM words WINDOW s AS (PARTITION BY p ORDER BY i)),
+grams AS (SELECT lang, 1 AS size, w1 AS phrase FROM leads
+          UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM leads WHERE w2 IS NOT NULL
+          UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM leads WHERE w3 IS NOT NULL
+          UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM leads WHERE w4 IS NOT NULL),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY lang, size, phrase HAVING count(*) >= 30),
+totals AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+c AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+cuts AS (SELECT lang, phrase, size, a, k, array_to_string(w[1:k], ' ') AS p1, array_to_string(w[k + 1:], ' ') AS p2
+         FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+scored AS (SELECT x.lang, x.phrase, x.size, x.a, l.f AS l, r.f AS r, x.k,
+           CAST((CAST(x.a AS HUGEINT) * 2000000) // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+           FROM cuts x JOIN f l ON l.lang = x.lang AND l.phrase = x.p1 JOIN f r ON r.lang = x.lang AND r.phrase = x.p2),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM c WHERE c.lang = b.lang AND c.size > b.size AND 100 * CAST(c.a AS HUGEINT) >= 80 * CAST(b.a AS HUGEINT)
+    AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+       phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
+def _secret_sql(kind: str, place: int, pattern: str, least: int, group: int = 0, any_case: bool = False) -> str:
+    """Spans of one kind: matches are set between marks, and what stands between marks is measured."""
+    text = "translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')" if any_case else "t"
+    quoted = pattern.replace("'", "''")
+    return f"""
+SELECT r, '{kind}' AS kind, {place} AS place, before AS start, before + length(part) AS stop
+FROM (SELECT r, i, part, coalesce(sum(length(part)) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+      FROM (SELECT r, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS i
+            FROM (SELECT r, string_split(regexp_replace({text}, '({quoted})', chr(57344) || '\\1' || chr(57344), 'g'), chr(57344)) AS parts FROM docs)))
+WHERE i % 2 = 0 AND length(regexp_extract(part, '{quoted}', {group})) >= {least}"""
+
+
+_SECRETS = [
+    _secret_sql(r.kind, i, r.pattern.replace("A-Za-z0-9+", "a-z0-9+") if r.any_case else r.pattern, r.least, r.group, r.any_case)
+    for i, r in enumerate(secret_scan.RULES)
+]
+CHECKS["op13_secrets"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+spans AS ({" UNION ALL ".join(_SECRETS)}),
+joined AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+           count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) FILTER (place < 3) AS base,
+           string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans
+           FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN joined USING (r)
+"""

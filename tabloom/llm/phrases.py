@@ -6,15 +6,16 @@ their columns sums them to all shorter prefixes, which are the counts of all sho
 words, and of all words of a language. A prefix that ends in padding is the shorter phrase's and is
 left out.
 
-Most windows of a text are met once. A sieve keeps them short: pairs of neighbouring words are hashed,
-and a bitmap of fixed size marks the hashes that come at least as often as a candidate must. A window
-is padded from the first pair without a mark, as no phrase across such a pair can be a candidate
-or a part of one. Two pairs on one place only keep a window longer than needed; the counts of candidates and
-their parts are those of the rollup and exact.
+Most windows of a text are met once. Sieves keep them short: phrases of two words, and then those of
+three whose pairs are marked, are hashed, and a bitmap of fixed size marks the hashes that come at
+least as often as a candidate must. A window is padded from the first phrase without a mark on, as no
+candidate, nor a part of one, holds such a phrase. Two phrases on one place only keep a window longer
+than needed; the counts of candidates and their parts are those of the rollup and exact.
 
 Words, pieces and hashes are made in Arrow batches; a task holds a block of at most about
 ``BLOCK_WORDS`` words besides the document at hand. A word or window on a third of all places is one
-row per block before the shuffle. Only the bitmap, of ``PLACES`` bits, goes through the driver.
+row per block before the shuffle. Only the bitmaps, of ``PLACES`` bits each, go
+through the driver.
 
 Cases: a null text is empty; a null language is ``und``; documents are counted by rows, so repeated
 rows count repeatedly and ids are not read; a text without words adds nothing; an empty table gives no
@@ -85,34 +86,46 @@ def word_hashes(words: list[bytes], lang: str):
     return np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
 
 
-def pair_hashes(stream, hashes):
-    """A 63-bit hash of each place's word and the next, and whether both are words of one piece."""
+def growing(stream, hashes, sieves: list, places: int):
+    """For phrases of two words on: a 63-bit hash at each place, and whether all they hold is marked.
+
+    The last pair of arrays is of the first order without a sieve; a phrase is one only if both phrases
+    a word shorter in it are.
+    """
     import numpy as np
 
-    first, second = hashes[stream[:-1]], hashes[stream[1:]]
-    mixed = (first ^ (first >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + second
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (mixed ^ (mixed >> np.uint64(32))) >> np.uint64(1), (stream[:-1] > 0) & (stream[1:] > 0)
+    code, whole = hashes[stream], stream > 0
+    for order in range(2, len(sieves) + 3):
+        mixed = (code[:-1] ^ (code[:-1] >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + hashes[stream[order - 1 :]]
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        code, whole = (mixed ^ (mixed >> np.uint64(32))) >> np.uint64(1), whole[:-1] & whole[1:]
+        if order - 2 < len(sieves):
+            place = (code % np.uint64(places)).astype(np.int64)
+            marks = np.frombuffer(sieves[order - 2], np.uint8)
+            whole = whole & ((marks[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1)
+        yield code, whole
 
 
-def sieve(texts: DataFrame, least: int, places: int = PLACES, block_words: int = BLOCK_WORDS) -> bytes:
-    """The bitmap of places of pair hashes that come at least ``least`` times."""
+def sieve(texts: DataFrame, least: int, lower: list[bytes], places: int = PLACES, block_words: int = BLOCK_WORDS) -> bytes:
+    """The bitmap of places of hashes that come at least ``least`` times, one order above the ``lower`` sieves."""
     import pyarrow as pa
 
+    shared = texts.sparkSession.sparkContext.broadcast(lower)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for words, streams in blocks(batches, block_words):
             for lang, stream in streams.items():
-                code, pair = pair_hashes(stream, word_hashes(words, lang))
-                codes, counts = np.unique(code[pair], return_counts=True)
+                *_, (code, whole) = growing(stream, word_hashes(words, lang), shared.value, places)
+                codes, counts = np.unique(code[whole], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(codes.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["code", "n"]
                 )
 
-    pairs = texts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    often = texts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     place = F.col("code") % places + 1  # Spark's buckets count from 1
-    marked = pairs.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+    marked = often.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
     )
     bits = bytearray(-(-places // BUCKET) * (BUCKET // 8))
@@ -122,43 +135,47 @@ def sieve(texts: DataFrame, least: int, places: int = PLACES, block_words: int =
     return bytes(bits)
 
 
-def windows(texts: DataFrame, bits: bytes, places: int = PLACES, block_words: int = BLOCK_WORDS) -> DataFrame:
+def sieves(texts: DataFrame, least: int, places: int = PLACES, block_words: int = BLOCK_WORDS) -> list[bytes]:
+    """A sieve for each order from two words to one below the longest windows."""
+    found: list[bytes] = []
+    for _ in range(2, ORDER):
+        found.append(sieve(texts, least, found, places, block_words))
+    return found
+
+
+def windows(texts: DataFrame, marked: list[bytes], places: int = PLACES, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(lang, w1 to w4, n): longest windows, padded with "", counted per block."""
     import pyarrow as pa
 
-    shared = texts.sparkSession.sparkContext.broadcast(bits)
+    shared = texts.sparkSession.sparkContext.broadcast(marked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        marks = np.frombuffer(shared.value, np.uint8)
         for words, streams in blocks(batches, block_words):
             spelled = pa.array(words, pa.binary()).cast(pa.string())
             bit = max(1, len(words).bit_length())
             for lang, stream in streams.items():
-                code, pair = pair_hashes(stream, word_hashes(words, lang))
-                place = (code % np.uint64(places)).astype(np.int64)
-                pair &= (marks[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-                # Lead columns; a window goes on while its pairs do.
-                padded = np.concatenate([stream, np.zeros(ORDER, np.int64)])
-                goes = np.concatenate([pair, np.zeros(ORDER, bool)])
-                alone = stream[(stream > 0) & ~goes[: len(stream)]]
-                single = np.bincount(alone, minlength=len(words))
-                at = np.flatnonzero(goes)
-                third = goes[at + 1]
-                fourth = third & goes[at + 2]
-                head = padded[at] << bit | padded[at + 1]
-                tail = np.where(third, padded[at + 2], 0) << bit | np.where(fourth, padded[at + 3], 0)
+                # Lead columns: a window goes on as far as all it holds is marked.
+                leads = [stream]
+                for order, (_, whole) in enumerate(growing(stream, word_hashes(words, lang), shared.value, places), 2):
+                    lead = np.zeros(len(stream), np.int64)
+                    lead[: len(whole)] = np.where(whole, stream[order - 1 :], 0)
+                    leads.append(lead)
+                alone = np.bincount(stream[(stream > 0) & (leads[1] == 0)], minlength=len(words))
+                at = np.flatnonzero(leads[1])
+                head, tail = (leads[0][at] << bit) | leads[1][at], (leads[2][at] << bit) | leads[3][at]
                 order = np.lexsort((tail, head))
                 head, tail = head[order], tail[order]
-                new = np.flatnonzero(np.concatenate([[True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])])) if len(head) else order
-                counts = np.diff(np.append(new, len(head)))
-                head, tail, mask = head[new], tail[new], (1 << bit) - 1
-                own = np.flatnonzero(single)
+                new = np.ones(len(head), bool)
+                new[1:] = (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
+                new = np.flatnonzero(new)
+                counts, mask = np.diff(np.append(new, len(head))), (1 << bit) - 1
+                head, tail, own = head[new], tail[new], np.flatnonzero(alone)
                 none = np.zeros(len(own), np.int64)
                 columns = [head >> bit, head & mask, tail >> bit, tail & mask]
                 columns = [spelled.take(pa.array(np.concatenate([x, y]))) for x, y in zip(columns, [own, none, none, none])]
-                n = np.concatenate([counts, single[own]]).astype(np.int64)
+                n = np.concatenate([counts, alone[own]]).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(n), pa.string()), *columns, pa.array(n)], names=["lang", *WORDS, "n"]
                 )
@@ -171,7 +188,7 @@ def phrase_counts(
 ) -> DataFrame:
     """(lang, size, phrase, f): words and phrases met at least ``least`` times; size 0 has the language's count of words."""
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("text"))
-    counted = windows(texts, sieve(texts, least, places, block_words), places, block_words)
+    counted = windows(texts, sieves(texts, least, places, block_words), places, block_words)
     sums = counted.rollup("lang", *WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     # The level has a bit for each column that is summed away, the last column's lowest.
     size = F.when(F.col("level") == 15, 0).when(F.col("level") == 7, 1).when(F.col("level") == 3, 2)

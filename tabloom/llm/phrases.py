@@ -6,16 +6,16 @@ their columns sums them to all shorter prefixes, which are the counts of all sho
 words, and of all words of a language. A prefix that ends in padding is the shorter phrase's and is
 left out.
 
-Most windows of a text are met once. Sieves keep them short: phrases of two words, and then those of
-three whose pairs are marked, are hashed, and a bitmap of fixed size marks the hashes that come at
-least as often as a candidate must. A window is padded from the first phrase without a mark on, as no
-candidate, nor a part of one, holds such a phrase. Two phrases on one place only keep a window longer
-than needed; the counts of candidates and their parts are those of the rollup and exact.
+Most windows of a text are met once. Sieves keep them short: pairs of words, and then phrases of three
+whose pairs are marked, are hashed, and a bitmap of fixed size marks the hashes that come at least as
+often as a candidate must. A window is padded from the first phrase without a mark on, as no candidate,
+nor a part of one, holds it; words of no marked pair are counted for the language alone. Two phrases
+on one place only keep a window longer than needed; the counts of candidates and their parts are those
+of the rollup and exact.
 
-Words, pieces and hashes are made in Arrow batches; a task holds a block of at most about
-``BLOCK_WORDS`` words besides the document at hand. A word or window on a third of all places is one
-row per block before the shuffle. Only the bitmaps, of ``PLACES`` bits each, go
-through the driver.
+Texts are cut into words once, in Arrow batches, and written as blocks of word numbers of one language,
+about ``BLOCK_WORDS`` each, beside the document at hand. A word or window on a third of all places is
+one row per block before the shuffle. Only the bitmaps, of ``PLACES`` bits each, go through the driver.
 
 Cases: a null text is empty; a null language is ``und``; documents are counted by rows, so repeated
 rows count repeatedly and ids are not read; a text without words adds nothing; an empty table gives no
@@ -30,100 +30,142 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import stored
+from tabloom.session import scratch_path
 
 # Characters that end a piece (fixed values); all become line feeds.
 PIECE_ENDS = b".,;:!?\x0b\x0c\r"
 TO_LINES = bytes.maketrans(PIECE_ENDS, b"\n" * len(PIECE_ENDS))
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
+BLOCK_FILE = 32 << 20  # bytes of a Parquet row group of blocks
 PLACES = 1 << 27
 BUCKET = 32_768  # bits in a bucket of Spark's bitmap functions
 ORDER = 4
 WORDS = [f"w{i}" for i in range(1, ORDER + 1)]
 
 
-class Numbers(dict):
-    """Words of a block by number from 1 on; 0 is the end of a piece."""
+class Block:
+    """Words of one language by number from 1 on, and a text as these numbers; 0 is the end of a piece."""
 
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self) + 1
-        return number
+    def __init__(self, lang: str):
+        self.lang, self.numbers, self.stream = lang, {}, []
 
+    def add(self, raw: bytes) -> None:
+        numbers, stream = self.numbers, self.stream
+        for piece in raw.lower().translate(TO_LINES).split(b"\n"):
+            words = piece.split()  # bytes split at ASCII white space: blanks and tabs are left of it
+            if words:
+                stream.extend([numbers.setdefault(w, len(numbers) + 1) for w in words])
+                stream.append(0)
 
-def blocks(batches, limit: int):
-    """(words, {language: numbers of its words, 0 after each piece}) of about ``limit`` words each."""
-    import numpy as np
 
-    numbers, streams, held = Numbers(), {}, 0
-
-    def block():
-        return [b"", *numbers], {lang: np.array(s, np.int64) for lang, s in streams.items()}
-
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            raw = text.as_py()
-            if not raw:
-                continue
-            stream, number = streams.setdefault(lang, []), numbers.__getitem__
-            before = len(stream)
-            for piece in raw.lower().translate(TO_LINES).split(b"\n"):
-                words = piece.split()  # bytes split at ASCII white space: blanks and tabs are left of it
-                if words:
-                    stream.extend(map(number, words))
-                    stream.append(0)
-            held += len(stream) - before
-            if held >= limit:
-                yield block()
-                numbers, streams, held = Numbers(), {}, 0
-    if held:
-        yield block()
-
-
-def word_hashes(words: list[bytes], lang: str):
+def encoded(texts: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(lang, words, stream): the blocks of all texts, in a written table."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        held: dict[str, Block] = {}
+
+        def row(block: Block) -> pa.RecordBatch:
+            words = pa.array([list(block.numbers)], pa.list_(pa.binary()))
+            stream = pa.array([np.array(block.stream, "<i4").tobytes()], pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([block.lang]), words, stream], names=["lang", "words", "stream"])
+
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                block = held.get(lang) or held.setdefault(lang, Block(lang))
+                block.add(text.as_py() or b"")
+                if sum(len(b.stream) for b in held.values()) >= block_words * 2 or len(block.stream) >= block_words:
+                    full = max(held.values(), key=lambda b: len(b.stream))
+                    yield row(held.pop(full.lang))
+        for block in held.values():
+            if block.stream:
+                yield row(block)
+
+    blocks = texts.mapInArrow(run, "lang string, words array<binary>, stream binary")
+    path = scratch_path(texts.sparkSession, "phrase-blocks")
+    blocks.write.option("parquet.block.size", str(BLOCK_FILE)).parquet(path)
+    return texts.sparkSession.read.schema(blocks.schema).parquet(path)
+
+
+def block_of(batch, i: int):
+    """(language, its words with "" at 0, numbers, hashes of the words) of a row."""
     import numpy as np
     import xxhash
 
+    lang, words = batch.column(0)[i].as_py(), [b"", *batch.column(1)[i].as_py()]
     seed = xxhash.xxh32_intdigest(lang.encode())
-    return np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
+    hashes = np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
+    return lang, words, np.frombuffer(batch.column(2)[i].as_py(), "<i4"), hashes
+
+
+def spread(code):
+    """Mixes the bits of 64-bit numbers."""
+    import numpy as np
+
+    code = (code ^ (code >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return code ^ (code >> np.uint64(32))
 
 
-def growing(stream, hashes, sieves: list, places: int):
-    """For phrases of two words on: a 63-bit hash at each place, and whether all they hold is marked.
+def place_of(code, places: int):
+    """The bit that a code has in a bitmap."""
+    import numpy as np
+
+    return (code % np.uint64(places)).astype(np.int64)
+
+
+def marked_in(bits: bytes, place):
+    import numpy as np
+
+    return (np.frombuffer(bits, np.uint8)[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
+def growing(stream, hashes, sieves: list[bytes], places: int):
+    """For phrases of one, two and more words: a code of 48 bits at each place, and whether all they hold is marked.
 
-    The last pair of arrays is of the first order without a sieve; a phrase is one only if both phrases
-    a word shorter in it are.
+    ``sieves`` are those of two words on; the last arrays are of the first order without one. A phrase is
+    one only if both phrases a word shorter in it are.
     """
     import numpy as np
 
-    code, whole = hashes[stream], stream > 0
+    mixed, whole = hashes[stream], stream > 0
+    yield spread(mixed) >> np.uint64(16), whole
     for order in range(2, len(sieves) + 3):
-        mixed = (code[:-1] ^ (code[:-1] >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + hashes[stream[order - 1 :]]
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        code, whole = (mixed ^ (mixed >> np.uint64(32))) >> np.uint64(1), whole[:-1] & whole[1:]
+        mixed = spread(mixed[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[stream[order - 1 :]])
+        code, whole = mixed >> np.uint64(16), whole[:-1] & whole[1:]
         if order - 2 < len(sieves):
-            place = (code % np.uint64(places)).astype(np.int64)
-            marks = np.frombuffer(sieves[order - 2], np.uint8)
-            whole = whole & ((marks[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1)
+            whole = whole & marked_in(sieves[order - 2], place_of(code, places))
         yield code, whole
 
 
-def sieve(texts: DataFrame, least: int, lower: list[bytes], places: int = PLACES, block_words: int = BLOCK_WORDS) -> bytes:
-    """The bitmap of places of hashes that come at least ``least`` times, one order above the ``lower`` sieves."""
+def sieve(blocks: DataFrame, least: int, lower: list[bytes], places: int = PLACES) -> bytes:
+    """The bitmap of places of codes that come at least ``least`` times, one order above the ``lower`` sieves.
+
+    Above pairs, it marks the words of marked pairs too.
+    """
     import pyarrow as pa
 
-    shared = texts.sparkSession.sparkContext.broadcast(lower)
+    shared = blocks.sparkSession.sparkContext.broadcast(lower)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        for words, streams in blocks(batches, block_words):
-            for lang, stream in streams.items():
-                *_, (code, whole) = growing(stream, word_hashes(words, lang), shared.value, places)
-                codes, counts = np.unique(code[whole], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(codes.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["code", "n"]
-                )
-
-    often = texts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+        def rows(codes, counts) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["code", "n"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                _, _, stream, hashes = block_of(batch, i)
+                levels = list(growing(stream, hashes, shared.value, places))
+                code, whole = levels[-1]
+                yield rows(*np.unique(code[whole], return_counts=True))
+                if len(levels) > 2:
+                    words, pairs = levels[0][0], levels[1][1]
+                    words = np.unique(np.concatenate([words[:-1][pairs], words[1:][pairs]]))
+                    yield rows(words, np.full(len(words), least))
+
+    often = blocks.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     place = F.col("code") % places + 1  # Spark's buckets count from 1
     marked = often.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
@@ -135,52 +177,55 @@ def sieve(texts: DataFrame, least: int, lower: list[bytes], places: int = PLACES
     return bytes(bits)
 
 
-def sieves(texts: DataFrame, least: int, places: int = PLACES, block_words: int = BLOCK_WORDS) -> list[bytes]:
-    """A sieve for each order from two words to one below the longest windows."""
+def sieves(blocks: DataFrame, least: int, places: int = PLACES) -> list[bytes]:
+    """A sieve for each order from pairs to one below the longest windows."""
     found: list[bytes] = []
     for _ in range(2, ORDER):
-        found.append(sieve(texts, least, found, places, block_words))
+        found.append(sieve(blocks, least, found, places))
     return found
 
 
-def windows(texts: DataFrame, marked: list[bytes], places: int = PLACES, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(lang, w1 to w4, n): longest windows, padded with "", counted per block."""
+def windows(blocks: DataFrame, marked: list[bytes], places: int = PLACES) -> DataFrame:
+    """(lang, w1 to w4, n): longest windows, padded with "", counted per block; words of no marked pair are all ""."""
     import pyarrow as pa
 
-    shared = texts.sparkSession.sparkContext.broadcast(marked)
+    shared = blocks.sparkSession.sparkContext.broadcast(marked)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batch, i: int) -> pa.RecordBatch:
         import numpy as np
 
-        for words, streams in blocks(batches, block_words):
-            spelled = pa.array(words, pa.binary()).cast(pa.string())
-            bit = max(1, len(words).bit_length())
-            for lang, stream in streams.items():
-                # Lead columns: a window goes on as far as all it holds is marked.
-                leads = [stream]
-                for order, (_, whole) in enumerate(growing(stream, word_hashes(words, lang), shared.value, places), 2):
-                    lead = np.zeros(len(stream), np.int64)
-                    lead[: len(whole)] = np.where(whole, stream[order - 1 :], 0)
-                    leads.append(lead)
-                alone = np.bincount(stream[(stream > 0) & (leads[1] == 0)], minlength=len(words))
-                at = np.flatnonzero(leads[1])
-                head, tail = (leads[0][at] << bit) | leads[1][at], (leads[2][at] << bit) | leads[3][at]
-                order = np.lexsort((tail, head))
-                head, tail = head[order], tail[order]
-                new = np.ones(len(head), bool)
-                new[1:] = (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
-                new = np.flatnonzero(new)
-                counts, mask = np.diff(np.append(new, len(head))), (1 << bit) - 1
-                head, tail, own = head[new], tail[new], np.flatnonzero(alone)
-                none = np.zeros(len(own), np.int64)
-                columns = [head >> bit, head & mask, tail >> bit, tail & mask]
-                columns = [spelled.take(pa.array(np.concatenate([x, y]))) for x, y in zip(columns, [own, none, none, none])]
-                n = np.concatenate([counts, alone[own]]).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(n), pa.string()), *columns, pa.array(n)], names=["lang", *WORDS, "n"]
-                )
-
-    return texts.mapInArrow(run, "lang string, w1 string, w2 string, w3 string, w4 string, n long")
+        lang, words, stream, hashes = block_of(batch, i)
+        # Lead columns: a window goes on as far as all it holds is marked.
+        leads = []
+        for ahead, (code, whole) in enumerate(growing(stream, hashes, shared.value, places)):
+            if ahead == 0:
+                whole = whole & marked_in(shared.value[-1], place_of(code, places))
+            lead = np.zeros(len(stream), np.int64)
+            lead[: len(whole)] = np.where(whole, stream[ahead:], 0)
+            leads.append(lead)
+        alone = np.bincount(leads[0][(stream > 0) & (leads[1] == 0)], minlength=len(words))
+        at, bit = np.flatnonzero(leads[1]), max(1, len(words).bit_length())
+        head, tail = (leads[0][at] << bit) | leads[1][at], (leads[2][at] << bit) | leads[3][at]
+        order = np.lexsort((tail, head))
+        head, tail = head[order], tail[order]
+        new = np.ones(len(head), bool)
+        new[1:] = (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
+        new = np.flatnonzero(new)
+        counts, mask = np.diff(np.append(new, len(head))), (1 << bit) - 1
+        head, tail, own = head[new], tail[new], np.flatnonzero(alone)
+        none = np.zeros(len(own), np.int64)
+        columns = [head >> bit, head & mask, tail >> bit, tail & mask]
+        spelled = pa.array(words, pa.binary()).cast(pa.string())
+        columns = [spelled.take(pa.array(np.concatenate([x, y]))) for x, y in zip(columns, [own, none, none, none])]
+        n = np.concatenate([counts, alone[own]]).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *columns, pa.array(n)], names=["lang", *WORDS, "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield counted(batch, i)
+
+    return blocks.mapInArrow(run, "lang string, w1 string, w2 string, w3 string, w4 string, n long")
 
 
 def phrase_counts(
@@ -188,12 +233,13 @@ def phrase_counts(
 ) -> DataFrame:
     """(lang, size, phrase, f): words and phrases met at least ``least`` times; size 0 has the language's count of words."""
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("text"))
-    counted = windows(texts, sieves(texts, least, places, block_words), places, block_words)
+    blocks = encoded(texts, block_words)
+    counted = windows(blocks, sieves(blocks, least, places), places)
     sums = counted.rollup("lang", *WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     # The level has a bit for each column that is summed away, the last column's lowest.
     size = F.when(F.col("level") == 15, 0).when(F.col("level") == 7, 1).when(F.col("level") == 3, 2)
     size = size.when(F.col("level") == 1, 3).when(F.col("level") == 0, 4)
-    last = F.when(F.col("level") == 3, F.col("w2")).when(F.col("level") == 1, F.col("w3")).when(F.col("level") == 0, F.col("w4"))
+    last = F.when(F.col("level") == 7, F.col("w1")).when(F.col("level") == 3, F.col("w2")).when(F.col("level") == 1, F.col("w3")).when(F.col("level") == 0, F.col("w4"))
     real = F.coalesce(last, F.lit("w")) != ""
     kept = sums.filter(F.col("lang").isNotNull() & real & ((F.col("f") >= least) | (F.col("level") == 15)))
     return kept.select("lang", size.alias("size"), F.concat_ws(" ", *WORDS).alias("phrase"), "f")

@@ -250,7 +250,8 @@ def test_collocations_by_hand(spark):
 def test_sieve_keeps_windows_short(spark):
     docs = spark.createDataFrame([("en", "of the " * 50), ("en", " ".join(f"w{i}" for i in range(500)))], "lang string, text string")
     texts = docs.select("lang", F.col("text").cast("binary").alias("text"))
-    counted = phrases.windows(texts, phrases.sieves(texts, 30)).collect()
+    blocks = phrases.encoded(texts)
+    counted = phrases.windows(blocks, phrases.sieves(blocks, 30)).collect()
     assert sum(r.n for r in counted) == 600
-    assert sum(r.n for r in counted if r.w2 == "") >= 500
+    assert sum(r.n for r in counted if r.w1 == "") == 500
     assert {r.w4 for r in counted if r.w1 == "of"} <= {"the", ""}

@@ -8,7 +8,8 @@ into groups, and each two tokens that end together are a link.
 
 Both tokenizers cut a text at a blank or a line feed between two characters that are no white space
 (B: where none of its pieces could reach across; otherwise texts stay whole). The chunks between
-these cuts repeat, so each worker aligns a chunk once, in a memory of bounded size.
+these cuts repeat, so each worker aligns a chunk once, in a memory that is
+emptied when it is full.
 
 Each text leaves one row with its distinct links, coded as numbers. Counts of id pairs are summed
 per task and then over all; B's best pairs follow from them. Rows get their sums from a broadcast of
@@ -24,18 +25,21 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate, chain
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import stored
-from tabloom.llm.token_ids import Recent, byte_letters
+from tabloom.llm.token_ids import byte_letters
 
 # Before a blank or a line feed that stands between two characters that are no white space.
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 500_000
+PART_CHARACTERS = 1 << 20  # texts that are aligned together, besides the last one of them
 HELD_PAIRS = 1 << 22
 MAX_PAIRS = 4_000_000
 SPACE = "▁"
@@ -48,7 +52,7 @@ def default_paths() -> tuple[str, str]:
 
 
 class Aligner:
-    """Aligns texts; ``chunk(c)`` gives (tokens of A, of B, groups, groups as text, link codes, whether bytes agree)."""
+    """Aligns texts; each distinct chunk is aligned once while it is remembered."""
 
     def __init__(self, path_a: str, path_b: str, kept: int = KEPT_CHUNKS):
         import os
@@ -67,72 +71,110 @@ class Aligner:
             plain = all(letter in shown for letter in entry)
             self.bytes_a[number] = bytes(shown[letter] for letter in entry) if plain else entry.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.size_b)]
-        self.bytes_b = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)
-        ]
+        self.is_byte = [self.b.is_byte(i) for i in range(self.size_b)]
+        self.bytes_b = [bytes([int(p[3:5], 16)]) if f else p.replace(SPACE, " ").encode() for f, p in zip(self.is_byte, pieces)]
         self.apart = not any(SPACE in p.lstrip(SPACE) or "\n" in p for p in pieces)
-        self.aligned = Recent(self.chunk, kept).__getitem__
+        self.small = self.size_a * self.size_b <= 1 << 32
+        self.names = [str(i) for i in range(max(self.size_a, self.size_b))]
+        self.kept = kept
+        self.forget()
+
+    def forget(self) -> None:
+        """Per remembered chunk: its number, tokens of A and B, groups, whether bytes agree, groups as text; all link codes."""
+        self.number: dict[str, int] = {}
+        self.n_a, self.n_b, self.n_groups, self.same = (array("q") for _ in range(4))
+        self.groups: list[str] = []
+        self.codes = array("I" if self.small else "Q")
 
     def chunks(self, text: str) -> list[str]:
         whole = " " + text
         return CUT.split(whole) if self.apart else [whole]
 
-    def ends_a(self, chunk: str) -> tuple[list[int], list[int]]:
-        """A's ids and the byte offsets at which they end."""
-        found = self.a.encode(chunk, add_special_tokens=False)
-        ids, offsets = found.ids, found.offsets
-        byte_at = None if chunk.isascii() else [0]
-        if byte_at is not None:
-            for c in chunk:
-                byte_at.append(byte_at[-1] + len(c.encode()))
-        ends, at = [], 0
+    def ends_a(self, chunk: str, ids: list[int], offsets: list[tuple[int, int]]) -> list[int]:
+        """The byte offsets at which A's tokens end."""
+        if chunk.isascii():
+            return [stop for _, stop in offsets]
+        byte_at = list(accumulate((len(c.encode()) for c in chunk), initial=0))
+        ends, at, final = [], 0, len(ids) - 1
         for i, (number, (_, stop)) in enumerate(zip(ids, offsets)):
-            inside = i + 1 < len(ids) and offsets[i + 1][0] < stop  # the next token holds a part of the same character
-            at = at + len(self.bytes_a[number]) if inside else (stop if byte_at is None else byte_at[stop])
+            # Inside a character the next token holds a part of it too: its place follows from the bytes.
+            at = at + len(self.bytes_a[number]) if i < final and offsets[i + 1][0] < stop else byte_at[stop]
             ends.append(at)
-        return ids, ends
+        return ends
 
-    def ends_b(self, chunk: str) -> tuple[list[int], list[int]]:
+    def ends_b(self, pieces, own: bool) -> tuple[list[int], list[int]]:
         """B's ids and the byte offsets at which they end; the model's own leading space is the chunk's."""
-        own = chunk[0] == " "
-        pieces = self.b.encode(chunk[1:] if own else chunk, return_type="proto").pieces
         ids, ends, at = [], [], 0
         for p in pieces if own else pieces[1:]:
-            width = len(self.bytes_b[p.id])
+            number = p.id
             # A byte of a character that fell back has no span of its own until the last one.
-            at = at + width if self.b.is_byte(p.id) else p.end + own
-            ids.append(p.id)
+            at = at + 1 if self.is_byte[number] else p.end + own
+            ids.append(number)
             ends.append(at)
         return ids, ends
 
-    def chunk(self, chunk: str) -> tuple[int, int, int, str, bytes, bool]:
+    def learn(self, chunks: list[str]) -> None:
+        """Align chunks that are not remembered; a token has a byte at least, so each group ends in one link."""
+        names, own = self.names, [c[0] == " " for c in chunks]
+        all_a = self.a.encode_batch(chunks, add_special_tokens=False)
+        all_b = self.b.encode([c[1:] if o else c for c, o in zip(chunks, own)], return_type="proto", num_threads=1)
+        for chunk, leads, found, proto in zip(chunks, own, all_a, all_b):
+            a = found.ids
+            ends_a = self.ends_a(chunk, a, found.offsets)
+            b, ends_b = self.ends_b(proto.pieces, leads)
+            raw = chunk.encode()
+            self.same.append(b"".join([self.bytes_a[k] for k in a]) == raw == b"".join([self.bytes_b[k] for k in b]))
+            names_a, names_b, groups = [names[k] for k in a], [names[k] for k in b], []
+            i = j = first_a = first_b = 0
+            while i < len(a) and j < len(b):
+                if ends_a[i] < ends_b[j]:
+                    i += 1
+                elif ends_a[i] > ends_b[j]:
+                    j += 1
+                else:
+                    self.codes.append(a[i] * self.size_b + b[j])
+                    i, j = i + 1, j + 1
+                    groups.append(",".join(names_a[first_a:i]) + "|" + ",".join(names_b[first_b:j]))
+                    first_a, first_b = i, j
+            self.number[chunk] = len(self.groups)
+            self.groups.append(";".join(groups))
+            self.n_a.append(len(a))
+            self.n_b.append(len(b))
+            self.n_groups.append(len(groups))
+
+    def texts(self, texts: list[str | None]) -> list[tuple[int, int, int, str, Any]]:
+        """(tokens of A, of B, groups, groups as text, link codes) of each text; zeros where it has no tokens."""
         import numpy as np
 
-        raw = chunk.encode()
-        (a, ends_a), (b, ends_b) = self.ends_a(chunk), self.ends_b(chunk)
-        same = b"".join([self.bytes_a[i] for i in a]) == raw == b"".join([self.bytes_b[i] for i in b])
-        groups, codes, i, j = [], [], 0, 0
-        for cut in sorted(set(ends_a) & set(ends_b)):
-            first_a, first_b = i, j
-            while i < len(a) and ends_a[i] <= cut:
-                i += 1
-            while j < len(b) and ends_b[j] <= cut:
-                j += 1
-            groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-            last_a = [a[k] for k in range(first_a, i) if ends_a[k] == cut]
-            last_b = [b[k] for k in range(first_b, j) if ends_b[k] == cut]
-            codes += [x * self.size_b + y for x in last_a for y in last_b]
-        kind = np.uint32 if self.size_a * self.size_b <= 1 << 32 else np.uint64
-        return len(a), len(b), len(groups), ";".join(groups), np.array(codes, kind).tobytes(), same
-
-    def text(self, text: str | None) -> tuple[int, int, int, str, bytes]:
-        """(tokens of A, of B, groups, groups as text, link codes) of a text; zeros where it has no tokens."""
-        if not text:
-            return 0, 0, 0, "", b""
-        n_a, n_b, n_groups, groups, codes, same = zip(*map(self.aligned, self.chunks(text)))
-        if not all(same):
-            return 0, 0, 0, "", b""
-        return sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(codes)
+        if len(self.number) > self.kept:
+            self.forget()
+        cut = [self.chunks(t) if t else [] for t in texts]
+        fresh = {c for chunks in cut for c in chunks if c not in self.number}
+        if fresh:
+            self.learn(list(fresh))
+        numbers = [[self.number[c] for c in chunks] for chunks in cut]
+        flat = np.fromiter(chain.from_iterable(numbers), np.int64)
+        bounds = np.cumsum([0, *map(len, numbers)])
+
+        def summed(column) -> list[int]:
+            sums = np.concatenate([[0], np.cumsum(np.array(column, np.int64)[flat])]) if len(flat) else np.zeros(1, np.int64)
+            return sums[bounds]
+
+        links = np.array(self.n_groups, np.int64)
+        starts, lengths = (np.cumsum(links) - links)[flat], links[flat]
+        ends = np.cumsum(lengths)
+        codes = np.array(self.codes, np.uint32 if self.small else np.uint64)
+        codes = codes[np.repeat(starts - ends + lengths, lengths) + np.arange(int(lengths.sum()))]
+        sums = [summed(c) for c in (self.n_a, self.n_b, self.n_groups, self.same)]
+        link_at, counts = sums[2], np.diff(np.stack(sums), axis=1).T.tolist()
+        out = []
+        for i, (n_a, n_b, n_groups, same) in enumerate(counts):
+            if same < len(numbers[i]) or not numbers[i]:
+                out.append((0, 0, 0, "", codes[:0]))
+            else:
+                groups = ";".join([self.groups[k] for k in numbers[i]])
+                out.append((n_a, n_b, n_groups, groups, codes[link_at[i] : link_at[i + 1]]))
+        return out
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -148,8 +190,8 @@ def aligner(path_a: str, path_b: str) -> Aligner:
 def _kinds(path_a: str, path_b: str) -> tuple[int, Any]:
     import numpy as np
 
-    both = Aligner(path_a, path_b, 1)
-    return both.size_b, np.dtype(np.uint32 if both.size_a * both.size_b <= 1 << 32 else np.uint64)
+    both = Aligner(path_a, path_b)
+    return both.size_b, np.dtype(np.uint32 if both.small else np.uint64)
 
 
 def aligned_rows(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,28 +201,38 @@ def aligned_rows(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_i
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"row long, id {kind}, n_a long, n_b long, n_groups long, groups_sha256 string, codes binary, times binary"
 
+    def parts(column) -> Iterator[tuple[int, list[str | None]]]:
+        held: list[str | None] = []
+        size = 0
+        for i in range(len(column)):
+            held.append(column[i].as_py())
+            size += len(held[-1] or "")
+            if size >= PART_CHARACTERS:
+                yield i + 1 - len(held), held
+                held, size = [], 0
+        yield len(column) - len(held), held
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         from pyspark import TaskContext
 
         both = aligner(path_a, path_b)
-        width = np.uint32 if both.size_a * both.size_b <= 1 << 32 else np.uint64
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            out: list[tuple] = []
-            for i in range(batch.num_rows):
-                n_a, n_b, n_groups, groups, links = both.text(batch.column(1)[i].as_py())
-                codes, times = np.unique(np.frombuffer(links, width), return_counts=True)
-                digest = hashlib.sha256(groups.encode()).hexdigest() if n_a or n_b else ""
-                out.append((row, n_a, n_b, n_groups, digest, codes.tobytes(), times.astype(np.uint32).tobytes()))
-                row += 1
-            cells = list(zip(*out)) if out else [[]] * 7
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.binary()]
-            arrays = [pa.array(c, k) for c, k in zip(cells, kinds)]
-            yield pa.RecordBatch.from_arrays(
-                [arrays[0], batch.column(0), *arrays[1:]],
-                names=["row", "id", "n_a", "n_b", "n_groups", "groups_sha256", "codes", "times"],
-            )
+            for start, texts in parts(batch.column(1)):
+                out: list[tuple] = []
+                for n_a, n_b, n_groups, groups, links in both.texts(texts):
+                    codes, times = np.unique(links, return_counts=True)
+                    digest = hashlib.sha256(groups.encode()).hexdigest() if n_a or n_b else ""
+                    out.append((row, n_a, n_b, n_groups, digest, codes.tobytes(), times.astype(np.uint32).tobytes()))
+                    row += 1
+                cells = list(zip(*out)) if out else [[]] * 7
+                kinds = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.binary()]
+                arrays = [pa.array(c, k) for c, k in zip(cells, kinds)]
+                yield pa.RecordBatch.from_arrays(
+                    [arrays[0], batch.column(0).slice(start, len(texts)), *arrays[1:]],
+                    names=["row", "id", "n_a", "n_b", "n_groups", "groups_sha256", "codes", "times"],
+                )
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 

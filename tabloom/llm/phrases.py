@@ -9,9 +9,8 @@ left out.
 Most windows of a text are met once. Sieves keep them short: pairs of words, and then phrases of three
 whose pairs are marked, are hashed, and a bitmap of fixed size marks the hashes that come at least as
 often as a candidate must. A window is padded from the first phrase without a mark on, as no candidate,
-nor a part of one, holds it; words of no marked pair are counted for the language alone. Two phrases
-on one place only keep a window longer than needed; the counts of candidates and their parts are those
-of the rollup and exact.
+nor a part of one, holds it. Two phrases on one place only keep a window longer than needed; the counts
+of candidates and their parts are those of the rollup and exact.
 
 Texts are cut into words once, in Arrow batches, and written as blocks of word numbers of one language,
 about ``BLOCK_WORDS`` each, beside the document at hand. A word or window on a third of all places is
@@ -122,7 +121,7 @@ def marked_in(bits: bytes, place):
 
 
 def growing(stream, hashes, sieves: list[bytes], places: int):
-    """For phrases of one, two and more words: a code of 48 bits at each place, and whether all they hold is marked.
+    """For phrases of one, two and more words: a code of 63 bits at each place, and whether all they hold is marked.
 
     ``sieves`` are those of two words on; the last arrays are of the first order without one. A phrase is
     one only if both phrases a word shorter in it are.
@@ -130,20 +129,17 @@ def growing(stream, hashes, sieves: list[bytes], places: int):
     import numpy as np
 
     mixed, whole = hashes[stream], stream > 0
-    yield spread(mixed) >> np.uint64(16), whole
+    yield spread(mixed) >> np.uint64(1), whole
     for order in range(2, len(sieves) + 3):
         mixed = spread(mixed[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[stream[order - 1 :]])
-        code, whole = mixed >> np.uint64(16), whole[:-1] & whole[1:]
+        code, whole = mixed >> np.uint64(1), whole[:-1] & whole[1:]
         if order - 2 < len(sieves):
             whole = whole & marked_in(sieves[order - 2], place_of(code, places))
         yield code, whole
 
 
 def sieve(blocks: DataFrame, least: int, lower: list[bytes], places: int = PLACES) -> bytes:
-    """The bitmap of places of codes that come at least ``least`` times, one order above the ``lower`` sieves.
-
-    Above pairs, it marks the words of marked pairs too.
-    """
+    """The bitmap of places of codes that come at least ``least`` times, one order above the ``lower`` sieves."""
     import pyarrow as pa
 
     shared = blocks.sparkSession.sparkContext.broadcast(lower)
@@ -151,19 +147,14 @@ def sieve(blocks: DataFrame, least: int, lower: list[bytes], places: int = PLACE
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        def rows(codes, counts) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["code", "n"])
-
         for batch in batches:
             for i in range(batch.num_rows):
                 _, _, stream, hashes = block_of(batch, i)
-                levels = list(growing(stream, hashes, shared.value, places))
-                code, whole = levels[-1]
-                yield rows(*np.unique(code[whole], return_counts=True))
-                if len(levels) > 2:
-                    words, pairs = levels[0][0], levels[1][1]
-                    words = np.unique(np.concatenate([words[:-1][pairs], words[1:][pairs]]))
-                    yield rows(words, np.full(len(words), least))
+                *_, (code, whole) = growing(stream, hashes, shared.value, places)
+                codes, counts = np.unique(code[whole], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(codes.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["code", "n"]
+                )
 
     often = blocks.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     place = F.col("code") % places + 1  # Spark's buckets count from 1
@@ -186,7 +177,7 @@ def sieves(blocks: DataFrame, least: int, places: int = PLACES) -> list[bytes]:
 
 
 def windows(blocks: DataFrame, marked: list[bytes], places: int = PLACES) -> DataFrame:
-    """(lang, w1 to w4, n): longest windows, padded with "", counted per block; words of no marked pair are all ""."""
+    """(lang, w1 to w4, n): longest windows, padded with "", counted per block."""
     import pyarrow as pa
 
     shared = blocks.sparkSession.sparkContext.broadcast(marked)
@@ -197,9 +188,7 @@ def windows(blocks: DataFrame, marked: list[bytes], places: int = PLACES) -> Dat
         lang, words, stream, hashes = block_of(batch, i)
         # Lead columns: a window goes on as far as all it holds is marked.
         leads = []
-        for ahead, (code, whole) in enumerate(growing(stream, hashes, shared.value, places)):
-            if ahead == 0:
-                whole = whole & marked_in(shared.value[-1], place_of(code, places))
+        for ahead, (_, whole) in enumerate(growing(stream, hashes, shared.value, places)):
             lead = np.zeros(len(stream), np.int64)
             lead[: len(whole)] = np.where(whole, stream[ahead:], 0)
             leads.append(lead)

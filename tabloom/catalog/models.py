@@ -507,7 +507,7 @@ def _(spark, sf):
 @query("un_lda")
 def _(spark, sf):
     tokens = table(spark, sf, "documents").where(F.col("text").isNotNull()).select("doc_id", tokenize(F.col("text")).alias("words"))
-    terms = fit_term_vectors(tokens, "words")
+    terms = fit_term_vectors(tokens, "words", vocabulary=5000, min_documents=10)
     vectors = learners.spread(terms.transform(tokens).select("doc_id", "features")).persist()
     try:
         model = topics.fit_topics(vectors)

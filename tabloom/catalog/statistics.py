@@ -473,7 +473,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     tokens = _tokens(spark, sf)
-    vectors = encode.fit_term_vectors(tokens, "words").transform(tokens)
+    vectors = encode.fit_term_vectors(tokens, "words", vocabulary=5000, min_documents=10).transform(tokens)
     counts, weights = vector_to_array("raw_features"), vector_to_array("features")
     nonzero = lambda a: F.size(F.filter(a, lambda x: x > 0))
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)

@@ -30,7 +30,8 @@ def fit_index(df: DataFrame, columns: Sequence[str], max_labels: int = 1_000_000
     """(model, indexed frame): categories numbered by falling frequency, ties by name.
 
     Unseen and missing values share one extra index. The fitted label list lives on the
-    driver, so a column with more than ``max_labels`` categories is refused.
+    driver, so a column with more than ``max_labels`` categories is refused;
+    ``dictionary.fit_labels`` numbers any count of them.
     """
     sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
     wide = [c for c, n in sizes.items() if n > max_labels]
@@ -154,9 +155,12 @@ def chi_square_selector(df: DataFrame, features: Sequence[str], label: str, k: i
 
 
 def fit_term_vectors(
-    tokens: DataFrame, column: str, vocabulary: int = 5000, min_documents: int = 10, out: str = "features"
+    tokens: DataFrame, column: str, vocabulary: int, min_documents: int, out: str = "features"
 ) -> PipelineModel:
-    """Term counts over a bounded vocabulary, then inverse-document-frequency weights."""
+    """Term counts over the ``vocabulary`` most frequent terms, then inverse-document-frequency weights.
+
+    The list lives on the driver; ``dictionary.term_vectors`` keeps all terms.
+    """
     counts = CountVectorizer(
         inputCol=column, outputCol="raw_features", vocabSize=vocabulary, minDF=float(min_documents)
     )

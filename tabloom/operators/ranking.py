@@ -17,7 +17,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DecimalType, NumericType
 
-from tabloom.session import default_slices
+from tabloom.session import default_slices, scratch_path
 
 _SLICE, _LEAD = "__slice", "__lead"
 BROADCAST_SLICES = 100_000
@@ -164,6 +164,25 @@ def running_totals(
     )
 
 
+def numbered(df: DataFrame, order: Sequence[Column], out: str, label: str = "numbered") -> DataFrame:
+    """Rows with their place, from 0 on, in an order of any sortable columns, text among them.
+
+    Rows are range-partitioned along the whole order, so that a value on many rows is cut along its
+    tie-break keys whatever their type; each is numbered inside its partition and written, and the
+    sizes of the partitions before are added. Only rows equal in all of ``order`` stay together.
+    """
+    spark = df.sparkSession
+    path, id_bits = scratch_path(spark, label), 33  # the partition stands above the lower 33 bits
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.withColumn("__id", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.parquet(path).withColumn("__part", F.shiftright("__id", id_bits))
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))  # one row for each partition
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
+    place = F.col("__before") + F.col("__id").bitwiseAND((1 << id_bits) - 1)
+    return placed.join(F.broadcast(offsets), "__part").select(*df.columns, place.cast("long").alias(out))
+
+
 def ntile_of(position: Column, rows: Column, buckets: int) -> Column:
     """The bucket of a 1-based position when the first ``rows mod buckets`` get one extra."""
     small = F.floor(rows / buckets)

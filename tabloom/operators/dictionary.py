@@ -17,21 +17,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tabloom.operators.ranking import numbered
-from tabloom.session import scratch_path
+from tabloom.session import scratch_path, written
 
 HOT_LABELS = 1_000
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def fit_labels(df: DataFrame, column: str) -> DataFrame:
     """(label, n, index) of a column: numbered from 0 by falling count, ties by label, in a written table."""
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    return _written(numbered(counts, [F.col("n").desc(), F.col("label")], "index"), "labels")
+    return written(numbered(counts, [F.col("n").desc(), F.col("label")], "index"), "labels")
 
 
 def fit_terms(counted: DataFrame, min_documents: int, size: int | None) -> DataFrame:
@@ -40,7 +34,7 @@ def fit_terms(counted: DataFrame, min_documents: int, size: int | None) -> DataF
     counts = counted.groupBy(F.col("term").alias("label")).agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
     counts = counts.where(F.col("df") >= min_documents)
     placed = numbered(counts, [F.col("n").desc(), F.col("label")], "index")
-    return _written(placed if size is None else placed.where(F.col("index") < size), "terms")
+    return written(placed if size is None else placed.where(F.col("index") < size), "terms")
 
 
 def look_up(df: DataFrame, column: str, dictionary: DataFrame, hot_labels: int = HOT_LABELS) -> tuple[DataFrame, str]:
@@ -68,7 +62,7 @@ def encode_labels(df: DataFrame, column: str, dictionary: DataFrame, out: str |
 def counted_terms(tokens: DataFrame, key: str, column: str) -> DataFrame:
     """(key, term, tf) in a written table; ``key`` tells documents apart."""
     rows = tokens.select(F.col(key), F.explode(column).alias("term"))
-    return _written(rows.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")), "counted-terms")
+    return written(rows.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")), "counted-terms")
 
 
 def sparse_vectors(entries: DataFrame, key: str, index: str, values: dict[str, Column], size: int) -> DataFrame:

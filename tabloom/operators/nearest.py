@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.operators.ranking import numbered
-from tabloom.session import scratch_path
+from tabloom.session import written
 
 BLOCK = 1_024
 ROUND_BYTES = 32 << 20
@@ -40,16 +40,10 @@ def best_partners(
 ) -> DataFrame:
     """(owner, best, blocks): ``best`` is an array of (partner, score) by falling score, ``blocks`` how many
     blocks of partners the owner was multiplied with."""
-    import numpy as np
     import pyarrow as pa
 
     spark = owners.sparkSession
 
-    def written(df: DataFrame, label: str) -> DataFrame:
-        path = scratch_path(spark, label)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
     lengths = F.col("norm").desc()
     ordered = written(numbered(_vectors(partners, partner, vector), [lengths, F.col("key")], "place"), "partners")
     size = ordered.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width"), F.min(F.size("v")).alias("least")).first()

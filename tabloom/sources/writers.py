@@ -47,6 +47,13 @@ def write_table(df: DataFrame, name: str, path: str | None = None, mode: str = "
     return name
 
 
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, mode: str = "overwrite") -> str:
+    """A managed table dealt into buckets by the keys and sorted in them, so that joins on the keys of
+    tables with as many buckets need no exchange."""
+    df.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return name
+
+
 def save_model(model, path: str) -> str:
     model.write().overwrite().save(path)
     return path

@@ -6,7 +6,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from tabloom.catalog.base import big, query, rounded, table, unique_name
-from tabloom.operators import leave_out, sketches
+from tabloom.operators import joins, leave_out, sketches
+from tabloom.operators.ranking import numbered, numbered_ntile
 from tabloom.operators.selection import CorrelationSelector
 from tabloom.session import scratch_path
 from tabloom.sources import records, writers
@@ -162,3 +163,44 @@ def _(spark, sf):
         for name in (lines, orders):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
     return spark.read.parquet(out)
+
+
+_NAMES = [F.col("c_nationkey").desc(), F.col("c_mktsegment"), F.col("c_name"), F.col("c_custkey")]
+_NAMES_SQL = "ORDER BY c_nationkey DESC, c_mktsegment, c_name, c_custkey"
+
+
+@query("win_row_number_text", f"SELECT c_custkey, row_number() OVER ({_NAMES_SQL}) AS position FROM customer")
+def _(spark, sf):
+    """Places in an order whose ties are settled by texts."""
+    placed = numbered(table(spark, sf, "customer"), _NAMES, "place")
+    return placed.select("c_custkey", (F.col("place") + 1).alias("position"))
+
+
+@query("win_ntile_text", f"SELECT c_custkey, ntile(7) OVER ({_NAMES_SQL}) AS bucket FROM customer")
+def _(spark, sf):
+    return numbered_ntile(table(spark, sf, "customer"), _NAMES, 7).select("c_custkey", big("bucket").alias("bucket"))
+
+
+def _hot_sides(spark, sf):
+    """Customers and suppliers by a key that a third of both share."""
+    hot = lambda c: F.when(F.col(c) % 3 == 0, -1).otherwise(F.col(c))
+    left = table(spark, sf, "customer").select("c_custkey", hot("c_custkey").alias("c_key"))
+    return left, table(spark, sf, "supplier").select("s_suppkey", hot("s_suppkey").alias("s_key"))
+
+
+def _hot_sql(how: str) -> str:
+    return f"""WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN -1 ELSE c_custkey END AS c_key FROM customer),
+       s AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN -1 ELSE s_suppkey END AS s_key FROM supplier)
+       SELECT c_key, s_key, count(*) AS n, sum(c_custkey)::bigint AS customers, sum(s_suppkey)::bigint AS suppliers
+       FROM c {how} JOIN s ON c_key = s_key GROUP BY ALL"""
+
+
+for _how in ("inner", "left", "right", "full"):
+
+    @query(f"join_{_how}_hot", _hot_sql(_how))
+    def _(spark, sf, how=_how):
+        left, right = _hot_sides(spark, sf)
+        joined = joins.salted_join(left, right, "c_key", "s_key", how, salts=4)
+        return joined.groupBy("c_key", "s_key").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("customers"), F.sum("s_suppkey").alias("suppliers")
+        )

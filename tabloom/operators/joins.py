@@ -40,6 +40,37 @@ def equi_join(
     return matched.unionByName(unmatched.select(*blanks, *right.columns))
 
 
+def hot_keys(df: DataFrame, key: str, share: float) -> list:
+    """Values of ``key`` on more than ``share`` of the rows; fewer than 1 / share reach the driver."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    least = df.agg(F.count(F.lit(1)) * share).scalar()
+    return [r[0] for r in counts.where(F.col("n") > least).select(key).collect()]
+
+
+def salted_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
+    share: float = 0.01, salts: int = 32,
+) -> DataFrame:
+    """``equi_join`` for keys that many rows of both sides share.
+
+    Keys on more than ``share`` of the rows of both sides are joined apart: the left rows are dealt to
+    ``salts`` parts, the right rows are copied to each, so that no task gets such a key whole. As they
+    are on both sides, each of their rows has a match whatever ``how``; all other rows are joined as
+    ever. A row's part is a function of its values and of the input partition it was read from,
+    so that equal rows spread too and a lost task deals them alike.
+    """
+    hot = sorted(set(hot_keys(left, left_key, share)) & set(hot_keys(right, right_key, share)))
+    if not hot:
+        return equi_join(left, right, left_key, right_key, how)
+    at_left, at_right = F.coalesce(F.col(left_key).isin(hot), F.lit(False)), F.coalesce(F.col(right_key).isin(hot), F.lit(False))
+    others = equi_join(left.where(~at_left), right.where(~at_right), left_key, right_key, how)
+    part = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+    dealt = left.where(at_left).withColumn("__part", part)
+    copied = right.where(at_right).withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    met = dealt.join(copied, (F.col(left_key) == F.col(right_key)) & (F.col("__part") == F.col("__copy")))
+    return others.unionByName(met.drop("__part", "__copy"))
+
+
 def attach_target(features: DataFrame, target: DataFrame, on: str | list[str]) -> DataFrame:
     """Puts the target beside its features by a real key; position is never used."""
     return features.join(target, on, "inner")

@@ -293,3 +293,10 @@ def exact_quantile(
     return placed.where(covers(first) | covers(last)).select(
         F.when(covers(first), F.col("x")).alias("lo"), F.when(covers(last), F.col("x")).alias("hi")
     ).agg((F.max("lo") * (1 - share) + F.max("hi") * share).alias("quantile"))
+
+
+def numbered_ntile(df: DataFrame, order: Sequence[Column], buckets: int, out: str = "bucket") -> DataFrame:
+    """``ntile(buckets)`` over an order of any sortable columns, by ``numbered``; sizes differ by at most one row."""
+    placed = numbered(df, order, "__pos")
+    rows = placed.agg(F.count(F.lit(1))).scalar()
+    return placed.withColumn(out, ntile_of(F.col("__pos") + 1, rows, buckets)).drop("__pos")

@@ -165,20 +165,23 @@ def _(spark, sf):
     return spark.read.parquet(out)
 
 
-_NAMES = [F.col("c_nationkey").desc(), F.col("c_mktsegment"), F.col("c_name"), F.col("c_custkey")]
+def _names():
+    return [F.col("c_nationkey").desc(), F.col("c_mktsegment"), F.col("c_name"), F.col("c_custkey")]
+
+
 _NAMES_SQL = "ORDER BY c_nationkey DESC, c_mktsegment, c_name, c_custkey"
 
 
 @query("win_row_number_text", f"SELECT c_custkey, row_number() OVER ({_NAMES_SQL}) AS position FROM customer")
 def _(spark, sf):
     """Places in an order whose ties are settled by texts."""
-    placed = numbered(table(spark, sf, "customer"), _NAMES, "place")
+    placed = numbered(table(spark, sf, "customer"), _names(), "place")
     return placed.select("c_custkey", (F.col("place") + 1).alias("position"))
 
 
 @query("win_ntile_text", f"SELECT c_custkey, ntile(7) OVER ({_NAMES_SQL}) AS bucket FROM customer")
 def _(spark, sf):
-    return numbered_ntile(table(spark, sf, "customer"), _NAMES, 7).select("c_custkey", big("bucket").alias("bucket"))
+    return numbered_ntile(table(spark, sf, "customer"), _names(), 7).select("c_custkey", big("bucket").alias("bucket"))
 
 
 def _hot_sides(spark, sf):

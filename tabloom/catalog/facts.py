@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.catalog.base import MODELLING_SQL, QUERIES, big, query, table
+from tabloom.catalog.base import LINE_KEY, MODELLING_SQL, QUERIES, big, modelling, query, table
 from tabloom.catalog.models import _CUSTOMER, _customers, _four_importances, _ratings, binary
 from tabloom.operators import cluster, learners, recommend, sampling
 from tabloom.functions.columns import positive_share
@@ -178,3 +178,45 @@ def _(spark, sf):
         F.count(F.lit(1)).alias("users"), F.sum("n").alias("n"), F.sum(F.col("n") - F.col("items")).alias("repeated"),
         F.sum("different").alias("different"), _counted(rising).alias("rising"),
     )
+
+
+@query("src_random_facts", "SELECT count(*) AS n, true AS near_mean, true AS near_sd FROM lineitem")
+def _(spark, sf):
+    """As many draws as rows, with mean 1 and standard deviation 2 within six standard errors."""
+    found = QUERIES["src_random"](spark, sf)
+    error = 2.0 / F.sqrt("n")
+    return found.select(
+        "n", (F.abs(F.col("mean") - 1.0) <= _LARGEST_Z * error).alias("near_mean"),
+        (F.abs(F.col("sd") - 2.0) <= _LARGEST_Z * error / F.sqrt(F.lit(2.0))).alias("near_sd"),
+    )
+
+
+@query("split_random_facts", "SELECT count(*) AS n_rows, 0::bigint AS outside, 0::bigint AS repeated, true AS near FROM orders")
+def _(spark, sf):
+    """Every order is in one part, once, and the training part is near 70 percent."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.lit(1).alias("known"))
+    parts = QUERIES["split_random"](spark, sf).groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("times"), _counted(F.col("part") == "train").alias("train")
+    )
+    found = orders.join(parts, "o_orderkey", "full").agg(
+        F.count("known").alias("n_rows"), _counted(F.col("known").isNull() | F.col("times").isNull()).alias("outside"),
+        _counted(F.col("times") > 1).alias("repeated"), F.sum("train").alias("train"),
+    )
+    return found.select("n_rows", "outside", "repeated", _near(F.col("train"), F.col("n_rows"), 0.7, 0.3).alias("near"))
+
+
+@query(
+    "stat_reduce_features_facts",
+    f"WITH {MODELLING_SQL} SELECT count(*) AS n, 0::bigint AS different, 5::bigint AS kept, sum(y)::bigint AS positive FROM m",
+)
+def _(spark, sf):
+    """Five features stay, and the target goes with its own row."""
+    reduced = QUERIES["stat_reduce_features"](spark, sf)
+    features = [c for c in reduced.columns if c not in (*LINE_KEY, "label")]
+    own = modelling(spark, sf).select(*LINE_KEY, F.col("y").alias("label"))
+    sides = reduced.select(*LINE_KEY, "label", F.lit(1).alias("side")).unionByName(own.withColumn("side", F.lit(-1)))
+    balance = sides.groupBy(*LINE_KEY, "label").agg(F.sum("side").alias("balance"), _counted(F.col("side") == 1).alias("n"))
+    return balance.agg(
+        F.sum("n").alias("n"), F.sum(F.abs("balance")).alias("different"), F.lit(len(features)).cast("long").alias("kept"),
+        F.sum(F.col("n") * F.col("label")).cast("long").alias("positive"),
+    )

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import stored
+from tabloom.llm.common import free_name, stored
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 FANOUT = 16
@@ -337,20 +337,34 @@ def keep_one(
 ) -> DataFrame:
     """One document of each component, with its own columns: that of the smallest id, null ids last.
 
-    Rows are told apart by a number in a written copy of the documents; of rows with the same id
-    the smallest text hash, then the smallest number, comes first. If several components would keep
-    different texts under one id, the first of them stays, so that ids stay unique; each row
-    with a null id stands for itself.
+    Rows are told apart by id and two hashes of the text; of rows with the same id the smallest text
+    hash comes first. If several components would keep different texts under one id, the first of
+    them stays, so that ids stay unique; each text with a null id stands for itself, and of rows with
+    equal id and text one stays. The documents are read and not copied: only the keys of the rows that
+    go are joined with them, so texts move at most once, and not at all while Spark can broadcast those
+    keys; rows repeated with id and text are the only ones that are grouped.
     """
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
-    order = F.struct(
+    text = F.col(text_col)
+    key = F.struct(
         F.col(id_col).isNull().alias("nameless"), F.col(id_col).alias("id"),
-        F.xxhash64(text_col).alias("text"), F.col("_row").alias("row"),
+        F.xxhash64(text).alias("text"), F.hash(text).alias("check"),
     )
-    marked = fingerprints(rows.select(order.alias("_order"), text_col), "_order", text_col, shingle, seed)
-    codes = stored(marked.groupBy("fp").agg(F.min("_order").alias("least")), "simhash-codes")
-    least = _rooted(codes, distance, MAX_GROUP).groupBy("root").agg(F.min("least").alias("least")).select("least.*")
-    # A null id is one of its own for each row.
-    own = F.when(F.col("nameless"), F.col("row"))
-    kept = least.groupBy("id", own).agg(F.min(F.struct("text", "row")).alias("first")).select(F.col("first.row").alias("_row"))
-    return rows.join(stored(kept, "simhash-kept"), "_row", "left_semi").select(*docs.columns)
+    mark = free_name(docs, "key")
+    marked = docs.withColumn(mark, key)
+    keys = fingerprints(marked, mark, text_col, shingle, seed).withColumnRenamed(mark, "key")
+    keys = stored(keys.groupBy("key", "fp").agg(F.count("*").alias("n")), "simhash-keys")
+    codes = stored(keys.groupBy("fp").agg(F.min("key").alias("least")), "simhash-codes")
+    least = _rooted(codes, distance, MAX_GROUP).groupBy("root").agg(F.min("least").alias("key"))
+    # A null id is one of its own for each text.
+    own = F.when(F.col("key.nameless"), F.struct("key.text", "key.check"))
+    kept = stored(least.groupBy("key.id", own).agg(F.min("key").alias("key")).select("key"), "simhash-kept")
+    leaving = stored(keys.join(kept, "key", "left_anti").select("key").distinct(), "simhash-leaving")
+    again = stored(keys.filter("n > 1").join(kept, "key", "left_semi").select("key").distinct(), "simhash-again")
+
+    def meet(rows: DataFrame, with_keys: DataFrame, how: str) -> DataFrame:
+        return rows.join(with_keys.withColumnRenamed("key", mark), mark, how)
+
+    out = meet(marked, leaving.unionByName(again), "left_anti")
+    if not again.isEmpty():
+        out = out.unionByName(meet(marked, again, "left_semi").dropDuplicates([mark]))
+    return out.select(*docs.columns)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabloom.functions.columns import hash_bucket
+from tabloom.session import written
 
 GRAIN = 1 << 32  # all values of the 32-bit hash, so that no fraction is too small
 
@@ -39,6 +40,44 @@ def sample_by_key(
     return df.where(bucket < limit)
 
 
+def sample_exact(
+    df: DataFrame, key: str | Sequence[str], size: int | Mapping, *, strata: str | None = None, seed: str = ""
+) -> DataFrame:
+    """Exactly ``size`` rows, or all if there are fewer, of the table or of each stratum.
+
+    The rows are those with the least key hash, equal hashes by key, so a sample of the union of samples
+    of parts is the sample of the whole. With a mapping, a stratum without a size is left out; a
+    missing stratum is one of its own. The key should name a row; of rows with an equal key
+    at the border any may be taken.
+
+    Rows are counted by stratum and slice of the hash. Slices below the border are taken whole, and
+    only the one slice per stratum in which the border lies is ordered: no stratum meets in one task.
+    """
+    stratum = F.lit(0) if strata is None else F.col(strata)
+    if isinstance(size, Mapping):
+        wanted = F.lit(0)
+        for level, n in size.items():
+            wanted = F.when(F.col("__stratum").eqNullSafe(F.lit(level)), n).otherwise(wanted)
+    else:
+        wanted = F.lit(size)
+    place = hash_bucket(_keys(key), GRAIN, seed)
+    marked = df.select(df["*"], stratum.alias("__stratum"), place.alias("__place"))
+    marked = marked.withColumn("__slice", F.shiftright("__place", 16))
+    counts = marked.groupBy("__stratum", "__slice").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("__stratum").orderBy("__slice")  # 65,536 counts at most
+    reached = counts.withColumn("__before", F.sum("n").over(upto) - F.col("n")).withColumn("__wanted", wanted)
+    border = reached.where(F.col("__before") < F.col("__wanted")).groupBy("__stratum").agg(
+        F.max(F.struct("__slice", "__before", "__wanted")).alias("__last")
+    ).withColumnRenamed("__stratum", "__own")
+    border = written(border, "sample-borders")  # a row per stratum, of known size
+    joined = marked.join(border, F.col("__stratum").eqNullSafe(F.col("__own")))
+    sure = joined.where(F.col("__slice") < F.col("__last.__slice"))
+    order = Window.partitionBy("__stratum").orderBy("__place", *_keys(key))
+    edge = joined.where(F.col("__slice") == F.col("__last.__slice")).withColumn("__number", F.row_number().over(order))
+    edge = edge.where(F.col("__number") <= F.col("__last.__wanted") - F.col("__last.__before"))
+    return sure.select(*df.columns).unionByName(edge.select(*df.columns))
+
+
 def _keys(key: str | Sequence[str]) -> list[Column]:
     return [F.col(k) for k in ([key] if isinstance(key, str) else key)]
 

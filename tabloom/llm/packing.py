@@ -43,12 +43,12 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_all
         dealt = 0
         for batch in batches:
             owner, out = [], []
-            for row, text in enumerate(batch.column(1)):
-                ids = encode(text.as_py()) + end
+            for row, ids in enumerate(encode(t.as_py() for t in batch.column(1))):
+                ids += end
                 total = len(ids) // 4
                 at, size = 0, total % capacity or capacity
                 for piece in range(-(-total // capacity)):

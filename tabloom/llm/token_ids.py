@@ -3,19 +3,34 @@
 The vocabulary's own splitting pattern cuts a text into pieces that are merged one by one. Pieces
 repeat a lot, so the library's model merges each distinct one once per worker, in a memory of
 bounded size, and a text's ids are looked up. Ids equal those of ``Tokenizer.encode``.
+
+No piece reaches from a character that is no white space over white space. Many texts together are
+therefore cut into chunks first, words with the blank before them and other white space; the chunks
+of a lot are numbered, and the ids of each different one are looked up once and gathered by the
+numbers. New chunks that begin with a blank go to the library many at a time, as one text in which
+the tokens with a blank at their head show where a chunk begins. A text longer than a lot is cut between two chunks, whatever its length.
 """
 
 from __future__ import annotations
 
 import os
 import struct
+from collections.abc import Generator, Iterable, Iterator
 
 import regex
 
 # The splitting pattern of the byte-level vocabulary (fixed value).
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+CHUNK = regex.compile(r" ?\S+|\s+(?!\S)|\s")
+# One blank or line end between other characters: a chunk begins there.
+SEAM = regex.compile(r"(?<=\S)[ \n](?=\S)")
 KEPT_PIECES = 300_000
+KEPT_CHUNKS = 600_000
+NEW_AT_ONCE = 20_000
 LONGEST_KEPT = 64
+LOT = 1 << 22
+# A text with none of these, nor white space at an end, has single blanks and line ends between words only.
+MIXED = ["  ", " \n", "\n ", "\n\n", *[c for c in map(chr, range(1 << 14)) if c.isspace() and c not in " \n"]]
 
 
 def default_path() -> str:
@@ -52,6 +67,13 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def marked(text: str) -> str:
+    """The text with a zero between its chunks; it must hold none of its own."""
+    if not text or text[0] in " \n" or text[-1] in " \n" or any(m in text for m in MIXED):
+        return "\0".join(CHUNK.findall(text))
+    return text.replace("\n", "\0\n\0").replace(" ", "\0 ")
+
+
 class IdEncoder:
     """``encode(text)`` gives the ids of a text as little-endian unsigned 32-bit bytes."""
 
@@ -64,16 +86,122 @@ class IdEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
         self.ids_of = Recent(self._piece, KEPT_PIECES).__getitem__
+        self.known: dict[str, bytes] = {}
+        self.known_before: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.begins = bytearray(max(vocabulary.values()) + 1)
+        for token, number in vocabulary.items():
+            self.begins[number] = token.startswith(self.letters[32])
 
     def _piece(self, piece: str) -> bytes:
         return packed([t.id for t in self.merge(piece.encode().decode("latin-1").translate(self.letters))])
 
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self.ids_of, PIECE.findall(chunk)))
+
+    def _is_special(self, text: str) -> bool:
+        return any(s in text for s in self.special)
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if any(s in text for s in self.special):  # the library decides what they are
+        if self._is_special(text):  # the library decides what they are
             return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.ids_of, PIECE.findall(text)))
+        return self._chunk(text)
+
+    def encode_all(self, texts: Iterable[str | None], lot: int = LOT) -> Iterator[bytes]:
+        """``encode`` of each text, in order, by lots of about ``lot`` characters."""
+        parts: list[str] = []
+        lasts: list[bool] = []
+        size, begun = 0, b""
+        for text in texts:
+            for part, last in self._parts(text or "", lot):
+                parts.append(part)
+                lasts.append(last)
+                size += len(part) + 1
+                if size >= lot:
+                    begun = yield from _joined(self._lot(parts), lasts, begun)
+                    parts, lasts, size = [], [], 0
+        yield from _joined(self._lot(parts), lasts, begun)
+
+    def _parts(self, text: str, lot: int) -> Iterator[tuple[str, bool]]:
+        """The text in parts that begin with a chunk, and whether each is the last."""
+        at = 0
+        if len(text) > lot and not self._is_special(text):
+            while seam := SEAM.search(text, at + lot):
+                yield text[at : seam.start()], False
+                at = seam.start()
+        yield text[at:], True
+
+    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of different chunks; like ``Recent``, two generations of a bounded size remember them."""
+        found = list(map(self.known.get, chunks))
+        unknown = [i for i, ids in enumerate(found) if ids is None]
+        led = []
+        for i in unknown:
+            chunk = chunks[i]
+            ids = self.known_before.get(chunk)
+            if ids is None:
+                if chunk[:1] == " " != chunk:
+                    led.append(i)
+                    continue
+                ids = self._chunk(chunk)
+            found[i] = ids
+        for at in range(0, len(led), NEW_AT_ONCE):
+            some = led[at : at + NEW_AT_ONCE]
+            for i, ids in zip(some, self._led([chunks[i] for i in some])):
+                found[i] = ids
+        if len(self.known) + len(unknown) > KEPT_CHUNKS:
+            self.known_before, self.known = self.known, {}
+        self.known.update((chunks[i], found[i]) for i in unknown if len(chunks[i]) <= LONGEST_KEPT)
+        return found
+
+    def _led(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks of a blank, their only white space, and what follows it."""
+        import numpy as np
+
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
+        starts = (4 * np.flatnonzero(np.frombuffer(self.begins, np.bool_)[ids])).tolist()
+        if len(starts) != len(chunks):  # a vocabulary with other tokens
+            return list(map(self._chunk, chunks))
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])]
+
+    def _lot(self, parts: list[str]) -> list[bytes]:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        alone = [i for i, p in enumerate(parts) if "\0" in p or self._is_special(p)]
+        texts = [marked(p) for p in parts]
+        for i in alone:
+            texts[i] = ""
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), "\0")
+        numbers = cut.flatten().dictionary_encode()
+        found = self._chunk_ids(numbers.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        which = numbers.indices.to_numpy()
+        sizes = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.repeat(starts[which] - ends[:-1], sizes) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(found), "<u4")[places].tobytes()
+        bounds = (4 * ends[cut.offsets.to_numpy()]).tolist()
+        out = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+        for i in alone:
+            out[i] = self.encode(parts[i])
+        return out
+
+
+def _joined(found: list[bytes], lasts: list[bool], begun: bytes) -> Generator[bytes, None, bytes]:
+    """The ids of each text whose last part is here; gives back those of a text that goes on."""
+    held = [begun]
+    for ids, last in zip(found, lasts):
+        held.append(ids)
+        if last:
+            yield b"".join(held)
+            held = []
+    return b"".join(held)
 
 
 _ENCODERS: dict[str, IdEncoder] = {}

@@ -2,7 +2,7 @@
 
 Documents are encoded in ascending id order and cut into shards of a bounded number of ids. Within
 a shard, frequent pairs of neighbouring symbols are replaced by new symbols, round after round,
-until little is gained; a pair never spans two documents. A shard file holds the rules, the number
+until a round would shorten them by less than a hundredth; a pair never spans two documents. A shard file holds the rules, the number
 of ids each rule stands for, and the symbols of its documents with their places, so that any range
 of any document is read without expanding the rest.
 
@@ -36,51 +36,58 @@ from tabloom.llm.token_ids import encoder
 
 SHARD_TOKENS = 1 << 19
 MAGIC, HEAD = b"RPG1", "<5IQ"
-MAX_ROUNDS, LEAST_COUNT, TABLE_BITS = 16, 6, 18
+LEAST_COUNT, LEAST_GAIN, TABLE_BITS = 6, 0.01, 18
 
 
-def repair(symbols, last, first_rule: int, max_rounds: int = MAX_ROUNDS, least: int = LEAST_COUNT):
-    """(symbols, rules by round as (left, right) arrays, index of what is left of each input place).
+def repair(symbols, last, first_rule: int, least: int = LEAST_COUNT, least_gain: float = LEAST_GAIN):
+    """(symbols, last of each document, rules by round as (left, right) arrays).
 
-    ``last`` marks the last symbol of each document. Each round counts pairs in a hash table and
-    replaces, where frequent pairs overlap, the more frequent one.
+    ``last`` marks the last symbol of each document. Each round counts all pairs exactly, by sorting
+    them, and replaces the frequent ones, the more frequent where two overlap, if they are replaced
+    ``least`` times. Rounds go on until one would shorten the symbols by less than ``least_gain``;
+    with 0 no pair is left that could be replaced ``least`` times. Frequent pairs are found again through a table of hashes;
+    of two that share a place the more frequent goes first and the other waits for the next round,
+    with another hash.
     """
     import numpy as np
 
     symbols, last, rounds = symbols.astype(np.uint64), last.copy(), []
-    fresh, size = first_rule, 1 << TABLE_BITS
     shift = np.uint64(64 - TABLE_BITS)
-    for turn in range(max_rounds):
-        if len(symbols) < 2:
-            break
+    while len(symbols) > 1:
+        odd = np.uint64((0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * len(rounds)) % (1 << 64))
         pair = (symbols[:-1] << np.uint64(32)) | symbols[1:]
-        # Another hash each round: pairs that shared a place may come apart.
-        place = ((pair * np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * turn & (1 << 64) - 1)) >> shift).astype(np.int64)
         inside = ~last[:-1]
-        held = np.zeros(size, dtype=np.uint64)
-        held[place[inside]] = pair[inside]
-        same = inside & (held[place] == pair)
-        count = np.bincount(place[same], minlength=size)
-        rank = np.where(same, count[place], 0)
-        rank[rank < least] = 0
-        taken = rank > 0
-        taken[1:] &= rank[1:] > rank[:-1]
-        taken[:-1] &= rank[:-1] >= rank[1:]
-        count = np.bincount(place[taken], minlength=size)
-        taken &= count[place] >= least
-        gained = int(taken.sum())
-        if gained * 100 < len(symbols):
+        ordered = np.sort(pair[inside])
+        heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+        counts = np.diff(heads, append=len(ordered))
+        often = counts >= least
+        if not often.any():
+            break
+        keys, counts = ordered[heads[often]], counts[often]
+        by_count = np.argsort(counts, kind="stable").astype(np.int32)
+        held = np.zeros(1 << TABLE_BITS, dtype=np.int32)
+        held[(keys[by_count] * odd) >> shift] = by_count  # the last one written stays
+        key = held[(pair * odd) >> shift]
+        found = np.flatnonzero((keys[key] == pair) & inside)
+        key = key[found]
+        rank, beside = counts[key], np.diff(found) == 1
+        taken = np.ones(len(found), dtype=bool)
+        taken[1:] &= ~beside | (rank[1:] > rank[:-1])
+        taken[:-1] &= ~beside | (rank[:-1] >= rank[1:])
+        used = np.bincount(key[taken], minlength=len(keys)) >= least
+        taken &= used[key]
+        if not taken.any() or taken.sum() < least_gain * len(symbols):
             break
-        used = np.flatnonzero(count >= least)
-        number = np.zeros(size, dtype=np.uint64)
-        number[used] = np.arange(fresh, fresh + len(used), dtype=np.uint64)
-        rounds.append(((held[used] >> np.uint64(32)).astype(np.uint32), held[used].astype(np.uint32)))
-        fresh += len(used)
-        symbols[:-1][taken] = number[place[taken]]
-        last[:-1][taken] |= last[1:][taken]
+        number = np.cumsum(used) + (first_rule - 1)
+        at = found[taken]
+        symbols[at] = number[key[taken]]
+        last[at] |= last[at + 1]
         stays = np.ones(len(symbols), dtype=bool)
-        stays[1:][taken] = False
+        stays[at + 1] = False
         symbols, last = symbols[stays], last[stays]
+        keys = keys[used]
+        rounds.append(((keys >> np.uint64(32)).astype(np.uint32), keys.astype(np.uint32)))
+        first_rule += len(keys)
     return symbols.astype(np.uint32), last, rounds
 
 
@@ -213,7 +220,7 @@ def write_shards(
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, part = encoder(tokenizer).encode, TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer).encode_all, TaskContext.get().partitionId()
         shard = before = size = 0
         owners: list[pa.Array] = []
         held: list[bytes] = []
@@ -229,8 +236,8 @@ def write_shards(
 
         for batch in batches:
             since = 0
-            for row, text in enumerate(batch.column(1)):
-                ids = encode(text.as_py()) + end
+            for row, ids in enumerate(encode(t.as_py() for t in batch.column(1))):
+                ids += end
                 if held and size + len(ids) // 4 > shard_tokens:
                     owners.append(batch.column(0).slice(since, row - since))
                     yield closed()

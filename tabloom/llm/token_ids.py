@@ -7,8 +7,8 @@ bounded size, and a text's ids are looked up. Ids equal those of ``Tokenizer.enc
 No piece reaches from a character that is no white space over white space. Many texts together are
 therefore cut into chunks first, words with the blank before them and other white space; the chunks
 of a lot are numbered, and the ids of each different one are looked up once and gathered by the
-numbers. New chunks that begin with a blank go to the library many at a time, as one text in which
-the tokens with a blank at their head show where a chunk begins. A text longer than a lot is cut between two chunks, whatever its length.
+numbers. New chunks that begin with a blank are cut by the pattern many at a time, as one text in
+which the pieces with a blank at their head show where a chunk begins. A text longer than a lot is cut between two chunks, whatever its length.
 """
 
 from __future__ import annotations
@@ -88,13 +88,17 @@ class IdEncoder:
         self.ids_of = Recent(self._piece, KEPT_PIECES).__getitem__
         self.known: dict[str, bytes] = {}
         self.known_before: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.begins = bytearray(max(vocabulary.values()) + 1)
-        for token, number in vocabulary.items():
-            self.begins[number] = token.startswith(self.letters[32])
+        self.ending = Recent(self._ids, KEPT_PIECES).__getitem__
 
     def _piece(self, piece: str) -> bytes:
-        return packed([t.id for t in self.merge(piece.encode().decode("latin-1").translate(self.letters))])
+        return packed(self._ids(piece))
+
+    def _ids(self, piece: str) -> list[int]:
+        if piece.isascii() and piece.isprintable():
+            letters = piece.replace(" ", self.letters[32])  # the others stand for themselves
+        else:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.merge(letters)]
 
     def _chunk(self, chunk: str) -> bytes:
         return b"".join(map(self.ids_of, PIECE.findall(chunk)))
@@ -160,11 +164,15 @@ class IdEncoder:
         """The ids of chunks of a blank, their only white space, and what follows it."""
         import numpy as np
 
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
-        starts = (4 * np.flatnonzero(np.frombuffer(self.begins, np.bool_)[ids])).tolist()
-        if len(starts) != len(chunks):  # a vocabulary with other tokens
-            return list(map(self._chunk, chunks))
-        data = ids.tobytes()
+        ids: list[int] = []
+        starts: list[int] = []
+        for piece in PIECE.findall("".join(chunks)):
+            if piece[0] == " ":
+                starts.append(4 * len(ids))
+                ids += self._ids(piece)
+            else:
+                ids += self.ending(piece)
+        data = np.array(ids, "<u4").tobytes()
         return [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])]
 
     def _lot(self, parts: list[str]) -> list[bytes]:

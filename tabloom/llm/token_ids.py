@@ -24,11 +24,11 @@ PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 CHUNK = regex.compile(r" ?\S+|\s+(?!\S)|\s")
 # One blank or line end between other characters: a chunk begins there.
 SEAM = regex.compile(r"(?<=\S)[ \n](?=\S)")
-KEPT_PIECES = 300_000
-KEPT_CHUNKS = 600_000
+KEPT_PIECES = 100_000
+KEPT_CHUNKS = 250_000
 NEW_AT_ONCE = 20_000
 LONGEST_KEPT = 64
-LOT = 1 << 22
+LOT = 1 << 21
 # A text with none of these, nor white space at an end, has single blanks and line ends between words only.
 MIXED = ["  ", " \n", "\n ", "\n\n", *[c for c in map(chr, range(1 << 14)) if c.isspace() and c not in " \n"]]
 
@@ -187,14 +187,15 @@ class IdEncoder:
         cut = pc.split_pattern(pa.array(texts, pa.large_string()), "\0")
         numbers = cut.flatten().dictionary_encode()
         found = self._chunk_ids(numbers.dictionary.to_numpy(zero_copy_only=False).tolist())
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        starts = np.cumsum(sizes) - sizes
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
         which = numbers.indices.to_numpy()
         sizes = sizes[which]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        places = np.repeat(starts[which] - ends[:-1], sizes) + np.arange(ends[-1])
+        ends = np.zeros(len(sizes) + 1, np.int32)  # a text of Spark has fewer than 2 ** 31 bytes
+        np.cumsum(sizes, out=ends[1:])
+        places = np.repeat(starts[which] - ends[:-1], sizes) + np.arange(ends[-1], dtype=np.int32)
         ids = np.frombuffer(b"".join(found), "<u4")[places].tobytes()
-        bounds = (4 * ends[cut.offsets.to_numpy()]).tolist()
+        bounds = (4 * ends[cut.offsets.to_numpy()].astype(np.int64)).tolist()
         out = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
         for i in alone:
             out[i] = self.encode(parts[i])

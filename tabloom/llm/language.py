@@ -34,7 +34,11 @@ KNOWN_WORDS = 200_000
 
 
 def words_in(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """The runs of letters; numerals that are no digits, as fractions and ordinals, part words like other signs."""
+    found = _WORD.findall(text.lower()) if text else []
+    if all(map(str.isalpha, found)):
+        return found
+    return "".join(c if c.isalpha() else " " for c in " ".join(found)).split()
 
 
 def grams_in(word: str, n: int) -> list[str]:

@@ -203,7 +203,5 @@ for _how in ("inner", "left", "right", "full"):
     @query(f"join_{_how}_hot", _hot_sql(_how))
     def _(spark, sf, how=_how):
         left, right = _hot_sides(spark, sf)
-        joined = joins.salted_join(left, right, "c_key", "s_key", how, salts=4)
-        return joined.groupBy("c_key", "s_key").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("customers"), F.sum("s_suppkey").alias("suppliers")
-        )
+        found = joins.join_totals(left, right, "c_key", "s_key", how, ["c_custkey", "s_suppkey"], salts=4)
+        return found.withColumnsRenamed({"c_custkey": "customers", "s_suppkey": "suppliers"})

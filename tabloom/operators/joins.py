@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 200_000
@@ -71,6 +73,27 @@ def salted_join(
     return others.unionByName(met.drop("__part", "__copy"))
 
 
+def join_totals(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
+    sums: Sequence[str] = (), **salted,
+) -> DataFrame:
+    """(left_key, right_key, n, sums…): rows of the ``salted_join`` by its two keys, and totals of columns of either side.
+
+    A key on m rows of one side and n of the other has m x n joined rows. Those are not made: each side is
+    combined to one row a key first, and a pair's totals are those of its side times the rows of the other.
+    """
+
+    def combined(df: DataFrame, key: str, rows: str) -> DataFrame:
+        return df.groupBy(key).agg(F.count(F.lit(1)).alias(rows), *[F.sum(c).alias(c) for c in sums if c in df.columns])
+
+    sides = combined(left, left_key, "__left_rows"), combined(right, right_key, "__right_rows")
+    joined = salted_join(*sides, left_key, right_key, how, **salted)
+    n_left, n_right = (F.coalesce(c, F.lit(1)) for c in ("__left_rows", "__right_rows"))
+    totals = [F.sum(F.col(c) * (n_right if c in left.columns else n_left)).alias(c) for c in sums]
+    # Rows without a key are left over on both sides, as one pair of nulls.
+    return joined.groupBy(left_key, right_key).agg(F.sum(n_left * n_right).alias("n"), *totals)
+
+
 def attach_target(features: DataFrame, target: DataFrame, on: str | list[str]) -> DataFrame:
     """Puts the target beside its features by a real key; position is never used."""
     return features.join(target, on, "inner")

@@ -32,7 +32,7 @@ def _(spark, sf):
     """Place by place, the pruned ratings are those of the model's own product of all users and items."""
     model = recommend.fit_als(_ratings(spark, sf), "user", "item", "rating")
     mine = recommend.best_items_pruned(model, 10)
-    own = recommend.best_items(model, 10).select("user", "place", F.col("rating").alias("own"))
+    own = recommend.best_items_product(model, 10).select("user", "place", F.col("rating").alias("own"))
     differs = F.col("own").isNull() | F.col("rating").isNull() | (F.abs(F.col("own") - F.col("rating")) > 1e-5 * (1 + F.abs("own")))
     return mine.join(own, ["user", "place"], "full").agg(
         F.count_distinct("user").alias("users"), F.count(F.lit(1)).alias("n"), F.count(F.when(differs, 1)).alias("different")

@@ -58,3 +58,35 @@ def test_nobody_and_nothing(spark):
     assert [(r.owner, r.best) for r in nearest.best_partners(some, none, 3).collect()] == [(1, [])]
     with pytest.raises(ValueError):
         nearest.best_partners(some, spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], none.schema), 3)
+
+
+def test_best_items_in_the_models_types(spark):
+    """What ``best_items`` and ``best_users`` give is what Spark's product of all gives, types included."""
+    ratings = spark.createDataFrame([(u, i, float((u * 5 + i * 3) % 7)) for u in range(50) for i in range(40) if (u + i) % 3], "u int, i int, r float")
+    model = recommend.fit_als(ratings, "u", "i", "r", rank=4)
+    for mine, own in ((recommend.best_items, recommend.best_items_product), (recommend.best_users, recommend.best_users_product)):
+        found, wanted = mine(model, 5), own(model, 5)
+        assert [f.dataType for f in found.schema] == [f.dataType for f in wanted.schema] and found.columns == wanted.columns
+        expected = {(r[0], r.place): r.rating for r in wanted.collect()}
+        assert {(r[0], r.place): r.rating for r in found.collect()} == pytest.approx(expected, rel=1e-4, abs=1e-5)
+        assert "CartesianProduct" not in found._jdf.queryExecution().toString()
+
+
+def test_owners_are_merged_together(monkeypatch):
+    """One sort a block at most, not one for each owner that finds something; equal scores go to the smaller partner."""
+    import numpy as np
+    import pyarrow as pa
+
+    sorts, plain = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda *a, **b: sorts.append(1) or plain(*a, **b))
+    draw = np.random.default_rng(2)
+    own, vectors = draw.integers(-9, 10, (40, 8)).astype(float), draw.integers(-9, 10, (4000, 8)).astype(float)
+    keys = draw.permutation(4000)
+    none = pa.array([[]] * 40, pa.list_(pa.struct([("partner", pa.int64()), ("score", pa.float64())])))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(own.tolist()), pa.array([1e9] * 40), none, pa.array([0] * 40, pa.int64())], names=["key", "v", "norm", "best", "blocks"])
+    for k, block in ((10, 64), (3, 1000), (70, 64), (5000, 4000)):
+        sorts.clear()
+        out = nearest._round(batch, keys, vectors, np.ones(4000), k, block, True, 8)
+        wanted = [keys[plain((keys, -(vectors @ v)))[:k]].tolist() for v in own]
+        assert [[p["partner"] for p in row] for row in out.column(3).to_pylist()] == wanted
+        assert len(sorts) <= -(-4000 // block)

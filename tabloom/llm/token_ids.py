@@ -77,7 +77,8 @@ def marked(text: str) -> str:
 class IdEncoder:
     """``encode(text)`` gives the ids of a text as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept_chunks: int = KEPT_CHUNKS):
+        self.kept_chunks = kept_chunks
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -155,7 +156,7 @@ class IdEncoder:
             some = led[at : at + NEW_AT_ONCE]
             for i, ids in zip(some, self._led([chunks[i] for i in some])):
                 found[i] = ids
-        if len(self.known) + len(unknown) > KEPT_CHUNKS:
+        if len(self.known) + len(unknown) > self.kept_chunks:
             self.known_before, self.known = self.known, {}
         self.known.update((chunks[i], found[i]) for i in unknown if len(chunks[i]) <= LONGEST_KEPT)
         return found
@@ -213,11 +214,11 @@ def _joined(found: list[bytes], lasts: list[bool], begun: bytes) -> Generator[by
     return b"".join(held)
 
 
-_ENCODERS: dict[str, IdEncoder] = {}
+_ENCODERS: dict[tuple[str, int], IdEncoder] = {}
 
 
-def encoder(path: str) -> IdEncoder:
-    """One encoder per worker process and vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = IdEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, kept_chunks: int = KEPT_CHUNKS) -> IdEncoder:
+    """One encoder per worker process, vocabulary file and number of chunks it remembers."""
+    if (path, kept_chunks) not in _ENCODERS:
+        _ENCODERS[path, kept_chunks] = IdEncoder(path, kept_chunks)
+    return _ENCODERS[path, kept_chunks]

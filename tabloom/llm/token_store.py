@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from tabloom.llm.token_ids import encoder
 
 SHARD_TOKENS = 1 << 19
+KEPT_CHUNKS = 500_000  # chunks a worker remembers in each of two generations: merging new ones is most of the work
 MAGIC, HEAD = b"RPG1", "<5IQ"
 LEAST_COUNT, LEAST_GAIN, TABLE_BITS = 6, 0.01, 18
 
@@ -220,7 +221,7 @@ def write_shards(
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, part = encoder(tokenizer).encode_all, TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer, KEPT_CHUNKS).encode_all, TaskContext.get().partitionId()
         shard = before = size = 0
         owners: list[pa.Array] = []
         held: list[bytes] = []

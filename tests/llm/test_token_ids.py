@@ -43,3 +43,12 @@ def test_white_space_of_the_pattern():
 
     spaces = {c for c in map(chr, range(0x110000)) if not "\ud800" <= c <= "\udfff" and regex.match(r"\s", c)}
     assert spaces <= {" ", "\n", *MIXED}
+
+
+def test_memories_of_different_size_give_the_same_ids():
+    """The token store remembers more chunks than packing: each asks for an encoder of its own."""
+    large, small = encoder(default_path(), 500_000), encoder(default_path(), 2)
+    assert large is not small and (large.kept_chunks, small.kept_chunks) == (500_000, 2)
+    texts = ["one two three two one", "", "four five one"]
+    assert list(large.encode_all(texts)) == list(small.encode_all(texts)) == [small.encode(t) for t in texts]
+    assert len(small.known) <= 6

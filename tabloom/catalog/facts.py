@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.catalog.base import LINE_KEY, MODELLING_SQL, QUERIES, big, modelling, query, table
+from tabloom.catalog.base import LINE_KEY, MODELLING_SQL, QUERIES, big, by_rows, modelling, query, table
 from tabloom.catalog.models import _CUSTOMER, _customers, _four_importances, _ratings, binary
 from tabloom.operators import cluster, learners, recommend, sampling
 from tabloom.functions.columns import positive_share
@@ -139,9 +139,13 @@ def _dot(a: str, b: str) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
-def _with_factors(model, pairs: DataFrame) -> DataFrame:
+def _factors(model) -> tuple[DataFrame, DataFrame]:
     users = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("u"))
-    items = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("i"))
+    return users, model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("i"))
+
+
+def _with_factors(model, pairs: DataFrame) -> DataFrame:
+    users, items = _factors(model)
     return pairs.join(users, "user").join(items, "item").withColumn("dot", _dot("u", "i"))
 
 
@@ -153,7 +157,9 @@ def _(spark, sf):
     """Predictions are the products of the factors, and closer to the ratings than their mean."""
     ratings = _ratings(spark, sf)
     model = recommend.fit_als(ratings, "user", "item", "rating")
-    both = _with_factors(model, model.transform(ratings))
+    users, items = _factors(model)
+    # Spark's model joins by user and then by item: the users' factors go along, so that pairs are dealt twice only.
+    both = model.transform(ratings.join(users, "user")).join(items, "item").withColumn("dot", _dot("u", "i"))
     off = F.abs(F.col("dot") - F.col("prediction")) > 1e-4 * (1 + F.abs("dot"))
     error = F.avg((F.col("rating") - F.col("prediction")) ** 2)
     return both.agg(F.count(F.lit(1)).alias("n"), _counted(off).alias("different"), (error < F.var_pop("rating")).alias("better"))
@@ -215,6 +221,7 @@ def _(spark, sf):
     features = [c for c in reduced.columns if c not in (*LINE_KEY, "label")]
     own = modelling(spark, sf).select(*LINE_KEY, F.col("y").alias("label"))
     sides = reduced.select(*LINE_KEY, "label", F.lit(1).alias("side")).unionByName(own.withColumn("side", F.lit(-1)))
+    sides = by_rows(sides, table(spark, sf, "lineitem").count(), *LINE_KEY)
     balance = sides.groupBy(*LINE_KEY, "label").agg(F.sum("side").alias("balance"), _counted(F.col("side") == 1).alias("n"))
     return balance.agg(
         F.sum("n").alias("n"), F.sum(F.abs("balance")).alias("different"), F.lit(len(features)).cast("long").alias("kept"),

@@ -11,6 +11,7 @@ from tabloom.catalog.base import (
 from tabloom.functions.text import STOPWORDS, tokenize
 from tabloom.operators import association, encode, evaluate
 from tabloom.operators.ranking import global_ntile
+from tabloom.session import written
 
 # ---- weight of evidence --------------------------------------------------------------
 
@@ -415,7 +416,7 @@ def _(spark, sf):
 @query("fx_chisq_select_text")
 def _(spark, sf):
     features = ["l_quantity", "p_size", "l_linestatus_index", "p_brand_index", "p_type_index", "o_orderpriority_index"]
-    rows = modelling(spark, sf).select("l_quantity", "p_size", *TEXT, "y")
+    rows = written(modelling(spark, sf).select("l_quantity", "p_size", *TEXT, "y"), "modelling")  # joined once for four reads
     _, indexed = encode.fit_index(rows, TEXT)
     names, _ = encode.chi_square_selector(indexed, features, "y", 3)
     tested = association.chi_square(indexed, features, "y")

@@ -30,7 +30,7 @@ from tabloom.llm.common import bounded_sample, stored
 
 _WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 5
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 
 
 def words_in(text: str | None) -> list[str]:
@@ -70,9 +70,9 @@ class WordModel:
         words = words_in(text)
         if not words or not self.languages:
             return "und", 0.0
-        sums, cache = [0.0] * len(self.languages), self.cache
+        sums, known, cache = [0.0] * len(self.languages), self.known[0], self.cache
         for word, times in Counter(words).items():
-            score = cache.get(word)
+            score = known.get(word) or cache.get(word)  # the cache holds unseen words alone
             if score is None:
                 score = self.word_score(word)
                 if len(cache) >= KNOWN_WORDS:
@@ -142,6 +142,7 @@ def fit(
         F.sum("times").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "times"))).alias("by")
     )
     known: dict[int, dict] = {n: {} for n in range(LONGEST + 1)}
+    same: dict[tuple, tuple] = {}  # many words have equal counts: they share one tuple, in each worker's copy too
     for top in (
         grouped.filter("n = 0").orderBy(F.desc("all"), "gram").limit(max_words),
         grouped.filter("n > 0").orderBy(F.desc("all"), "gram").limit(max_grams),
@@ -149,9 +150,10 @@ def fit(
         for r in top.collect():
             n, by = r["n"], r["by"]
             # A share of all counts of this length is added to each, so that an absence is not a zero.
-            known[n][r["gram"]] = tuple(
+            scores = tuple(
                 math.log((by.get(lang, 0) + 0.5) / (totals.get((n, lang), 0) + 0.005 * size[n])) for lang in languages
             )
+            known[n][r["gram"]] = same.setdefault(scores, scores)
     return WordModel(languages, known, tuple(0.0 for _ in languages))
 
 

@@ -36,6 +36,7 @@ PIECE_ENDS = b".,;:!?\x0b\x0c\r"
 TO_LINES = bytes.maketrans(PIECE_ENDS, b"\n" * len(PIECE_ENDS))
 BLOCK_WORDS = 1_000_000
 BLOCK_FILE = 32 << 20  # bytes of a Parquet row group of blocks
+BATCH_ROWS = 1 << 16  # rows that a task hands over at once
 PLACES = 1 << 27
 BUCKET = 32_768  # bits in a bucket of Spark's bitmap functions
 ORDER = 4
@@ -152,9 +153,10 @@ def sieve(blocks: DataFrame, least: int, lower: list[bytes], places: int = PLACE
                 _, _, stream, hashes = block_of(batch, i)
                 *_, (code, whole) = growing(stream, hashes, shared.value, places)
                 codes, counts = np.unique(code[whole], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(codes.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["code", "n"]
-                )
+                codes, counts = codes.astype(np.int64), counts.astype(np.int64)
+                for at in range(0, len(codes), BATCH_ROWS):
+                    some = slice(at, at + BATCH_ROWS)
+                    yield pa.RecordBatch.from_arrays([pa.array(codes[some]), pa.array(counts[some])], names=["code", "n"])
 
     often = blocks.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     place = F.col("code") % places + 1  # Spark's buckets count from 1
@@ -176,43 +178,54 @@ def sieves(blocks: DataFrame, least: int, places: int = PLACES) -> list[bytes]:
     return found
 
 
+def counted_windows(batch, i: int, marked: list[bytes], places: int, rows: int = BATCH_ROWS) -> Iterator:
+    """(lang, w1 to w4, n) of the block in a row, at most ``rows`` windows at once: only these are spelled out."""
+    import numpy as np
+    import pyarrow as pa
+
+    lang, words, stream, hashes = block_of(batch, i)
+    # Lead columns: a window goes on as far as all it holds is marked.
+    leads = []
+    for ahead, (_, whole) in enumerate(growing(stream, hashes, marked, places)):
+        lead = np.zeros(len(stream), np.int32)
+        lead[: len(whole)] = np.where(whole, stream[ahead:], 0)
+        leads.append(lead)
+    alone = np.bincount(leads[0][(stream > 0) & (leads[1] == 0)], minlength=len(words))
+    at, bit = np.flatnonzero(leads[1]), max(1, len(words).bit_length())
+    head, tail = [(leads[k][at].astype(np.int64) << bit) | leads[k + 1][at] for k in (0, 2)]
+    del leads, at
+    order = np.lexsort((tail, head))
+    head, tail = head[order], tail[order]
+    new = np.ones(len(head), bool)
+    new[1:] = (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
+    new = np.flatnonzero(new)
+    counts, mask = np.diff(np.append(new, len(head))), (1 << bit) - 1
+    head, tail, own = head[new], tail[new], np.flatnonzero(alone)
+    del order, new
+    spelled = pa.array(words, pa.binary()).cast(pa.string())
+    none = np.zeros(len(own), np.int64)
+    columns = [head >> bit, head & mask, tail >> bit, tail & mask]
+    columns = [np.concatenate([x, y]) for x, y in zip(columns, [own, none, none, none])]
+    n = np.concatenate([counts, alone[own]]).astype(np.int64)
+    for at in range(0, len(n), rows):
+        some = slice(at, at + rows)
+        found = [spelled.take(pa.array(c[some])) for c in columns]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(n[some]), pa.string()), *found, pa.array(n[some])], names=["lang", *WORDS, "n"]
+        )
+
+
 def windows(blocks: DataFrame, marked: list[bytes], places: int = PLACES) -> DataFrame:
     """(lang, w1 to w4, n): longest windows, padded with "", counted per block."""
     import pyarrow as pa
 
     shared = blocks.sparkSession.sparkContext.broadcast(marked)
 
-    def counted(batch, i: int) -> pa.RecordBatch:
-        import numpy as np
-
-        lang, words, stream, hashes = block_of(batch, i)
-        # Lead columns: a window goes on as far as all it holds is marked.
-        leads = []
-        for ahead, (_, whole) in enumerate(growing(stream, hashes, shared.value, places)):
-            lead = np.zeros(len(stream), np.int64)
-            lead[: len(whole)] = np.where(whole, stream[ahead:], 0)
-            leads.append(lead)
-        alone = np.bincount(leads[0][(stream > 0) & (leads[1] == 0)], minlength=len(words))
-        at, bit = np.flatnonzero(leads[1]), max(1, len(words).bit_length())
-        head, tail = (leads[0][at] << bit) | leads[1][at], (leads[2][at] << bit) | leads[3][at]
-        order = np.lexsort((tail, head))
-        head, tail = head[order], tail[order]
-        new = np.ones(len(head), bool)
-        new[1:] = (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
-        new = np.flatnonzero(new)
-        counts, mask = np.diff(np.append(new, len(head))), (1 << bit) - 1
-        head, tail, own = head[new], tail[new], np.flatnonzero(alone)
-        none = np.zeros(len(own), np.int64)
-        columns = [head >> bit, head & mask, tail >> bit, tail & mask]
-        spelled = pa.array(words, pa.binary()).cast(pa.string())
-        columns = [spelled.take(pa.array(np.concatenate([x, y]))) for x, y in zip(columns, [own, none, none, none])]
-        n = np.concatenate([counts, alone[own]]).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *columns, pa.array(n)], names=["lang", *WORDS, "n"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                yield counted(batch, i)
+                yield from counted_windows(batch, i, shared.value, places)
+                pa.default_memory_pool().release_unused()
 
     return blocks.mapInArrow(run, "lang string, w1 string, w2 string, w3 string, w4 string, n long")
 

@@ -35,7 +35,10 @@ from tabloom.session import scratch_path
 PIECE_ENDS = b".,;:!?\x0b\x0c\r"
 TO_LINES = bytes.maketrans(PIECE_ENDS, b"\n" * len(PIECE_ENDS))
 BLOCK_WORDS = 1_000_000
-BLOCK_FILE = 32 << 20  # bytes of a Parquet row group of blocks
+BLOCK_FILE = 8 << 20  # bytes of a Parquet row group of blocks
+# A block is megabytes long: sizes are looked at from the first row on, where Parquet waits for a hundred. Zstandard is
+# unpacked by pieces; Snappy takes memory outside the heap for a whole page, twice, and keeps it.
+BLOCK_OPTIONS = {"compression": "zstd", "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
 BATCH_ROWS = 1 << 16  # rows that a task hands over at once
 PLACES = 1 << 27
 BUCKET = 32_768  # bits in a bucket of Spark's bitmap functions
@@ -85,7 +88,7 @@ def encoded(texts: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
     blocks = texts.mapInArrow(run, "lang string, words array<binary>, stream binary")
     path = scratch_path(texts.sparkSession, "phrase-blocks")
-    blocks.write.option("parquet.block.size", str(BLOCK_FILE)).parquet(path)
+    blocks.write.options(**BLOCK_OPTIONS).option("parquet.block.size", str(BLOCK_FILE)).parquet(path)
     return texts.sparkSession.read.schema(blocks.schema).parquet(path)
 
 

@@ -27,3 +27,18 @@ def test_language_shares_equal_scores_and_remembers_unseen_words_only(spark):
     scores = list(model.known[0].values())
     assert len({id(s) for s in scores}) == len(set(scores)) < len(scores)
     assert model.predict("alpha unheard")[0] in ("en", "de") and set(model.cache) == {"unheard"}
+
+
+def test_blocks_of_a_file_are_row_groups_of_bounded_size(spark, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    paths = []
+    monkeypatch.setattr(phrases, "BLOCK_FILE", 1 << 10)
+    monkeypatch.setattr(phrases, "scratch_path", lambda s, label, path=phrases.scratch_path: paths.append(path(s, label)) or paths[-1])
+    rows = [("en", " ".join(f"w{i}x{j}" for j in range(500)).encode()) for i in range(6)]
+    blocks = phrases.encoded(spark.createDataFrame(rows, "lang string, text binary").coalesce(1), 200)
+    assert blocks.count() == 6
+    (file,) = glob.glob(f"{paths[0].removeprefix('file://')}/*.parquet")
+    assert pq.ParquetFile(file).metadata.num_row_groups == 6  # one of all, as Parquet sees sizes after 100 rows only

@@ -27,10 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import bounded_sample, stored
+from tabloom.llm.token_ids import forget_encoders
 
 _WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 5
 KNOWN_WORDS = 100_000
+ROWS_AT_ONCE = 512  # rows that a task hands back at once: they hold whole texts
 
 
 def words_in(text: str | None) -> list[str]:
@@ -91,8 +93,7 @@ class WordModel:
 
 def _words(batches: Iterator) -> Iterator:
     """(lang, word, times) of each batch of (text, lang)."""
-    import pyarrow as pa
-
+    forget_encoders()
     for batch in batches:
         seen: dict[str, Counter] = {}
         for text, lang in zip(batch.column(0), batch.column(1)):
@@ -158,24 +159,29 @@ def fit(
 
 
 def predict(docs: DataFrame, model: WordModel, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``keep`` columns of the documents with ``lang_pred`` and ``score``."""
+    """``keep`` columns of the documents with ``lang_pred`` and ``score``; a text that is kept goes to the workers once."""
     import pyarrow as pa
 
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         predict_one = shared.value.predict
-        for batch in batches:
-            found = [predict_one(t.as_py()) for t in batch.column(0)]
-            added = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i + 1) for i in range(len(keep))] + added, names=[*names, "lang_pred", "score"]
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(at, ROWS_AT_ONCE)
+                found = [predict_one(t.as_py()) for t in batch.column(place)]
+                added = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(i) for i in range(len(keep))] + added, names=[*names, "lang_pred", "score"]
+                )
 
     names = [f"k{i}" for i in range(len(keep))]
+    place = keep.index(text_col) if text_col in keep else len(keep)
+    text = [F.col(text_col).alias("_text")] if text_col not in keep else []
     kinds = [docs.schema[c].dataType.simpleString() for c in keep]
     schema = ", ".join([f"{n} {k}" for n, k in zip(names, kinds)] + ["lang_pred string", "score double"])
-    out = docs.select(F.col(text_col).alias("_text"), *[F.col(c).alias(n) for c, n in zip(keep, names)]).mapInArrow(judge, schema)
+    out = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], *text).mapInArrow(judge, schema)
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], "lang_pred", "score")
 
 

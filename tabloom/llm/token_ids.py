@@ -222,3 +222,8 @@ def encoder(path: str, kept_chunks: int = KEPT_CHUNKS) -> IdEncoder:
     if (path, kept_chunks) not in _ENCODERS:
         _ENCODERS[path, kept_chunks] = IdEncoder(path, kept_chunks)
     return _ENCODERS[path, kept_chunks]
+
+
+def forget_encoders() -> None:
+    """Lets go of this worker's encoders: a worker outlives its stage, and what they remember is of no use to another one."""
+    _ENCODERS.clear()

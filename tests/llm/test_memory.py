@@ -3,7 +3,9 @@
 import pyarrow as pa
 import numpy as np
 
-from tabloom.llm import language, phrases
+from pyspark.sql import functions as F
+
+from tabloom.llm import language, phrases, token_ids
 
 
 def test_windows_are_handed_over_in_small_batches():
@@ -42,3 +44,22 @@ def test_blocks_of_a_file_are_row_groups_of_bounded_size(spark, monkeypatch):
     assert blocks.count() == 6
     (file,) = glob.glob(f"{paths[0].removeprefix('file://')}/*.parquet")
     assert pq.ParquetFile(file).metadata.num_row_groups == 6  # one of all, as Parquet sees sizes after 100 rows only
+
+
+def test_language_id_lets_go_of_encoders_that_its_worker_holds(monkeypatch):
+    monkeypatch.setattr(token_ids, "_ENCODERS", {("path", 1): object()})
+    assert list(language._words(iter([]))) == [] and token_ids._ENCODERS == {}
+
+
+def test_kept_texts_are_handed_back_few_at_a_time_in_their_place(spark, monkeypatch):
+    monkeypatch.setattr(language, "ROWS_AT_ONCE", 2)
+    rows = [(i, None if i == 3 else f"alpha {i}", "en") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    model = language.WordModel(["de", "en"], {0: {"alpha": (-2.0, -1.0)}} | {n: {} for n in range(1, 6)}, (0.0, 0.0))
+    for keep in (("doc_id", "text"), ("text", "lang"), ("doc_id",)):
+        found = language.predict(docs, model, keep=keep)
+        plan = found._jdf.queryExecution().analyzed().toString()
+        assert "_text" not in plan or "text" not in keep  # before, a kept text went to the workers twice
+        assert sorted(map(str, found.select(*keep, "lang_pred").collect())) == sorted(
+            str(docs.select(*keep).withColumn("lang_pred", F.lit("und" if r[1] is None else "en")).collect()[r[0]]) for r in rows
+        )

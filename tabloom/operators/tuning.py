@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from math import sqrt
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+from pyspark import inheritable_thread_target
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.operators.evaluate import roc_auc
+from tabloom.operators.evaluate import roc_areas, roc_auc
 from tabloom.operators.learners import estimator
 from tabloom.functions.columns import positive_share
 
 # The elastic-net grid of the tuning workload.
 REG_PARAMS = (0.1, 0.01)
 ELASTIC_NETS = (0.0, 0.5, 1.0)
+WEIGHT = "__times"
 
 
 def _grid(learner, reg: Sequence[float], net: Sequence[float]):
@@ -30,15 +36,63 @@ def _table(spark, learner, grid, metrics) -> DataFrame:
     return spark.createDataFrame(rows, "reg_param double, elastic_net double, auc double")
 
 
-def _fit_persisted(search, df: DataFrame):
-    """Every candidate reads the same rows, so they are kept while the search runs."""
-    if df.is_cached:
-        return search.fit(df)
-    df.persist()
+def _margin(model) -> Column:
+    """A fitted plane as a column; weights of zero add nothing."""
+    x = vector_to_array(model.getFeaturesCol())
+    weighed = [x[j] * F.lit(float(c)) for j, c in enumerate(model.coefficients) if c]
+    return reduce(Column.__add__, weighed, F.lit(float(model.intercept)))
+
+
+def _for_repeats(learner, grid, rows: DataFrame):
+    """The grid that has the same penalties on weighted rows as the given one on the rows repeated.
+
+    Spark standardises by deviations that take weights for reliabilities, not for numbers of rows; all of a
+    frame's deviations are larger by the same ratio, so that the coefficients are, and the penalties of them.
+    """
+    n, squares = rows.agg(F.sum(WEIGHT), F.sum(F.col(WEIGHT) * F.col(WEIGHT))).first()
+    if squares in (n, n * n):  # no row repeated, or all rows one
+        return grid
+    ratio = sqrt((n - 1) / (n - squares / n))
+    changed = []
+    for candidate in grid:
+        reg, net = candidate[learner.regParam], candidate[learner.elasticNetParam]
+        l1, l2 = reg * net / ratio, reg * (1 - net) / ratio**2
+        changed.append({learner.regParam: l1 + l2, learner.elasticNetParam: l1 / (l1 + l2) if reg else net})
+    return changed
+
+
+def _fits(learner, train: DataFrame, grid, parallelism: int) -> list:
+    models = learner.fitMultiple(train, grid)
+    fit = inheritable_thread_target(train.sparkSession)(lambda _: next(models))
+    with ThreadPool(min(parallelism, len(grid))) as pool:
+        return [model for _, model in sorted(pool.imap_unordered(fit, grid), key=lambda found: found[0])]
+
+
+def _areas(learner, train: DataFrame, held: DataFrame, grid, parallelism: int) -> list[float]:
+    """The area of each candidate on the held-out rows, which are read once for all of them."""
+    weighed = WEIGHT in train.columns
+    train.persist()
     try:
-        return search.fit(df)
+        models = _fits(learner, train, _for_repeats(learner, grid, train) if weighed else grid, parallelism)
     finally:
-        df.unpersist()
+        train.unpersist()
+    return roc_areas(held, learner.getLabelCol(), [_margin(m) for m in models], F.col(WEIGHT) if weighed else None)
+
+
+def _searched(df: DataFrame, learner, reg, net, parallelism: int, parts):
+    """(metric table, best model): candidates by their mean area over the (training, held-out) parts of kept rows."""
+    grid = _grid(learner, reg, net)
+    kept = not df.is_cached
+    if kept:
+        df.persist()
+    try:
+        areas = np.mean([_areas(learner, train, held, grid, parallelism) for train, held in parts(df)], axis=0)
+        best = [grid[int(np.argmax(areas))]]
+        model = learner.fit(df, *(_for_repeats(learner, best, df) if WEIGHT in df.columns else best))
+    finally:
+        if kept:
+            df.unpersist()
+    return _table(df.sparkSession, learner, grid, areas), model
 
 
 def grid_by_holdout(
@@ -46,29 +100,36 @@ def grid_by_holdout(
     reg=REG_PARAMS, net=ELASTIC_NETS, max_iter: int = 10,
 ):
     """(metric table, best model) of a grid scored on one held-out part."""
-    learner = estimator("logistic", label=label, maxIter=max_iter)
-    grid = _grid(learner, reg, net)
-    search = TrainValidationSplit(
-        estimator=learner, estimatorParamMaps=grid, trainRatio=train_ratio, seed=seed,
-        evaluator=BinaryClassificationEvaluator(labelCol=label), parallelism=parallelism,
-    )
-    model = _fit_persisted(search, df)
-    return _table(df.sparkSession, learner, grid, model.validationMetrics), model.bestModel
+
+    def parts(rows):
+        dealt = rows.withColumn("__rand", F.rand(seed))
+        held = F.col("__rand") >= train_ratio
+        yield dealt.where(~held), dealt.where(held)
+
+    return _searched(df, estimator("logistic", label=label, maxIter=max_iter), reg, net, parallelism, parts)
 
 
 def grid_by_folds(
     df: DataFrame, fold_col: str, folds: int = 3, label: str = "label", parallelism: int = 3,
-    reg=REG_PARAMS, net=ELASTIC_NETS, max_iter: int = 10,
+    reg=REG_PARAMS, net=ELASTIC_NETS, max_iter: int = 10, repeats: bool = False,
 ):
-    """(metric table, best model) of a grid scored by k folds given as a column."""
-    learner = estimator("logistic", label=label, maxIter=max_iter)
-    grid = _grid(learner, reg, net)
-    search = CrossValidator(
-        estimator=learner, estimatorParamMaps=grid, numFolds=folds, foldCol=fold_col,
-        evaluator=BinaryClassificationEvaluator(labelCol=label), parallelism=parallelism,
-    )
-    model = _fit_persisted(search, df)
-    return _table(df.sparkSession, learner, grid, model.avgMetrics), model.bestModel
+    """(metric table, best model) of a grid scored by k folds given as a column.
+
+    ``repeats``: for features of few values; equal rows of a fold are fitted and scored as one row with
+    their number as its weight, so that the search costs one pass over the rows, however many they are.
+    """
+
+    def parts(rows):
+        found = {r[0] for r in rows.select(fold_col).distinct().limit(folds + 1).collect()}
+        if found != set(range(folds)):
+            raise ValueError(f"{fold_col} must hold each of 0 to {folds - 1} and nothing else")
+        for k in range(folds):
+            yield rows.where(F.col(fold_col) != k), rows.where(F.col(fold_col) == k)
+
+    params = {"weightCol": WEIGHT} if repeats else {}
+    if repeats:
+        df = df.groupBy(label, "features", fold_col).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
+    return _searched(df, estimator("logistic", label=label, maxIter=max_iter, **params), reg, net, parallelism, parts)
 
 
 def leave_one_group_out(

@@ -8,7 +8,7 @@ from math import sqrt
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
@@ -80,11 +80,14 @@ def _areas(learner, train: DataFrame, held: DataFrame, grid, parallelism: int) -
 
 
 def _searched(df: DataFrame, learner, reg, net, parallelism: int, parts):
-    """(metric table, best model): candidates by their mean area over the (training, held-out) parts of kept rows."""
+    """(metric table, best model): candidates by their mean area over the (training, held-out) parts of kept rows.
+
+    All rows are read a few times only and wait on disk; memory is for the training part, which each fit reads.
+    """
     grid = _grid(learner, reg, net)
     kept = not df.is_cached
     if kept:
-        df.persist()
+        df.persist(StorageLevel.DISK_ONLY)
     try:
         areas = np.mean([_areas(learner, train, held, grid, parallelism) for train, held in parts(df)], axis=0)
         best = [grid[int(np.argmax(areas))]]

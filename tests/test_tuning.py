@@ -66,3 +66,12 @@ def test_the_holdout_is_the_one_of_spark(rows):
         estimator=learner, estimatorParamMaps=tuning._grid(learner, (0.01,), (0.0,)), trainRatio=0.7, seed=12345, evaluator=BinaryClassificationEvaluator(numBins=0),
     )
     assert math.isclose(found.first().auc, search.fit(rows).validationMetrics[0], abs_tol=1e-12)
+
+
+def test_all_rows_wait_on_disk_while_candidates_are_fitted(rows, monkeypatch):
+    levels = []
+    kept = rows.select("label", "features")
+    monkeypatch.setattr(tuning, "_fits", lambda *a, fits=tuning._fits: levels.append((a[1].storageLevel.useMemory, kept.storageLevel.useMemory, kept.storageLevel.useDisk)) or fits(*a))
+    tuning.grid_by_holdout(kept, reg=(0.1,), net=(0.0,))
+    assert levels == [(True, False, True)]  # before, all rows stood in memory beside the two parts
+    assert not kept.storageLevel.useDisk

@@ -75,3 +75,13 @@ def test_all_rows_wait_on_disk_while_candidates_are_fitted(rows, monkeypatch):
     tuning.grid_by_holdout(kept, reg=(0.1,), net=(0.0,))
     assert levels == [(True, False, True)]  # before, all rows stood in memory beside the two parts
     assert not kept.storageLevel.useDisk
+
+
+def test_importances_leave_memory_to_the_fits(spark, sf, monkeypatch):
+    from tabloom.catalog import models
+
+    levels = []
+    monkeypatch.setattr(models.learners, "train", lambda df, kind, **k: levels.append(df.storageLevel))
+    monkeypatch.setattr(models.learners, "importance_table", lambda model, df: spark.createDataFrame([("a", 1.0)], "feature string, importance double"))
+    assert models._four_importances(spark, sf).count() == 4
+    assert len(levels) == 4 and all(level.useDisk and not level.useMemory for level in levels)  # before, in memory

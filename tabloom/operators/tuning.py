@@ -14,7 +14,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.operators.evaluate import roc_areas, roc_auc
-from tabloom.operators.learners import estimator
+from tabloom.operators.learners import ROWS_A_TASK, estimator
 from tabloom.functions.columns import positive_share
 
 # The elastic-net grid of the tuning workload.
@@ -129,10 +129,15 @@ def grid_by_folds(
         for k in range(folds):
             yield rows.where(F.col(fold_col) != k), rows.where(F.col(fold_col) == k)
 
-    params = {"weightCol": WEIGHT} if repeats else {}
-    if repeats:
-        df = df.groupBy(label, "features", fold_col).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
-    return _searched(df, estimator("logistic", label=label, maxIter=max_iter, **params), reg, net, parallelism, parts)
+    learner = estimator("logistic", label=label, maxIter=max_iter)
+    if not repeats:
+        return _searched(df, learner, reg, net, parallelism, parts)
+    combined = df.groupBy(label, "features", fold_col).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT)).persist()
+    try:
+        few = combined.coalesce(max(1, -(-combined.count() // ROWS_A_TASK)))
+        return _searched(few, learner.setWeightCol(WEIGHT), reg, net, parallelism, parts)
+    finally:
+        combined.unpersist()
 
 
 def leave_one_group_out(

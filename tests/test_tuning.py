@@ -45,9 +45,10 @@ def test_repeated_rows_are_fitted_as_one_with_the_same_result(rows):
 
 def test_a_search_over_few_values_fits_few_rows(rows, monkeypatch):
     fitted = []
-    monkeypatch.setattr(tuning, "_fits", lambda learner, train, *a, fits=tuning._fits: fitted.append(train.count()) or fits(learner, train, *a))
+    monkeypatch.setattr(tuning, "_fits", lambda learner, train, *a, fits=tuning._fits: fitted.append((train.count(), train.rdd.getNumPartitions())) or fits(learner, train, *a))
     tuning.grid_by_folds(rows.select("label", "features", "fold"), "fold", reg=(0.1,), net=(0.0,), repeats=True)
-    assert len(fitted) == 3 and max(fitted) <= 2 * 2 * 5 * 2  # before, about 4,000 rows each
+    assert len(fitted) == 3 and max(fitted) <= (2 * 2 * 5 * 2, 1)  # before, about 4,000 rows each
+    assert {tasks for _, tasks in fitted} == {1}
 
 
 def test_folds_out_of_range_are_refused(rows):

@@ -90,3 +90,31 @@ def test_owners_are_merged_together(monkeypatch):
         wanted = [keys[plain((keys, -(vectors @ v)))[:k]].tolist() for v in own]
         assert [[p["partner"] for p in row] for row in out.column(3).to_pylist()] == wanted
         assert len(sorts) <= -(-4000 // block)
+
+
+def _random_model(spark, users, items, rank):
+    draw = random.Random(3)
+    rows = [(u, i, float(draw.randint(1, 50))) for u in range(users) for i in draw.sample(range(items), 12)]
+    return recommend.fit_als(spark.createDataFrame(rows, "u int, i int, r float"), "u", "i", "r", rank=rank)
+
+
+def test_the_product_of_all_users_and_items_is_made_in_blocks(spark):
+    model = _random_model(spark, 200, 300, 5)
+    for mine, own in ((recommend.best_items_product, model.recommendForAllUsers), (recommend.best_users_product, model.recommendForAllItems)):
+        found, wanted = mine(model, 4), own(4)
+        assert "CartesianProduct" not in found._jdf.queryExecution().toString()  # Spark's own is one
+        assert {(r[0], r.place): r.rating for r in found.collect()} == {(r[0], p + 1): x.rating for r in wanted.collect() for p, x in enumerate(r[1])}
+
+
+@pytest.mark.parametrize("scale", [1e-30, 1.0, 1e20, 1e160])
+@pytest.mark.parametrize("prune", [True, False])
+def test_screened_products_lose_no_partner(spark, scale, prune):
+    """Vectors that a float tells hardly apart, or cannot hold, give the same best ones as doubles."""
+    draw = random.Random(8)
+    near = lambda: [scale * (1 + draw.randint(-50, 50) * 2.0**-40) for _ in range(3)]
+    owners, partners = [(i, [1.0, 2.0, 0.5 + i]) for i in range(5)], [(i, near()) for i in range(200)]
+    frame = lambda rows: spark.createDataFrame(rows, "id long, features array<double>")
+    found = nearest.best_partners(frame(owners), frame(partners), 3, block=16, prune=prune).collect()
+    for r in found:
+        best = sorted((sum(a * b for a, b in zip(owners[r.owner][1], v)) for _, v in partners), reverse=True)[:3]
+        assert [b.score for b in r.best] == pytest.approx(best, rel=1e-15, abs=0)

@@ -98,6 +98,17 @@ def _random_model(spark, users, items, rank):
     return recommend.fit_als(spark.createDataFrame(rows, "u int, i int, r float"), "u", "i", "r", rank=rank)
 
 
+def test_best_items_multiplies_every_user_with_every_item(spark, monkeypatch):
+    """No block is skipped, and the ratings are those of Spark's own product of all, to the last digit."""
+    model, seen = _random_model(spark, 300, 500, 15), []
+    plain = nearest.best_partners
+    monkeypatch.setattr(nearest, "best_partners", lambda *a, **b: seen.append(plain(*a, block=16, **b)) or seen[-1])
+    found = recommend.best_items(model, 7).collect()
+    assert {r.blocks for r in seen[0].select("blocks").collect()} == {-(-model.itemFactors.count() // 16)}
+    own = model.recommendForAllUsers(7).collect()
+    assert {(r.u, r.place): r.rating for r in found} == {(r.u, p + 1): x.rating for r in own for p, x in enumerate(r.recommendations)}
+
+
 def test_the_product_of_all_users_and_items_is_made_in_blocks(spark):
     model = _random_model(spark, 200, 300, 5)
     for mine, own in ((recommend.best_items_product, model.recommendForAllUsers), (recommend.best_users_product, model.recommendForAllItems)):
